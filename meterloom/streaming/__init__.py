@@ -1,0 +1 @@
+"""Intentionally empty: every extract is a bounded batch over stored readings."""
