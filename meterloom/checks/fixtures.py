@@ -71,9 +71,16 @@ class Fixtures:
     def __init__(self, spark: SparkSession, base: str):
         self.spark = spark
         self.base = base
+        self._opened = {}
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.base}/{name}.parquet")
+        path = f"{self.base}/{name}.parquet"
+        return self._once(path, lambda: self.spark.read.parquet(path))
+
+    def _once(self, key, opener):
+        if key not in self._opened:
+            self._opened[key] = opener()
+        return self._opened[key]
 
     # readings
 
@@ -210,7 +217,7 @@ class Fixtures:
     # inventory
 
     def __getitem__(self, name: str) -> DataFrame:
-        return getattr(self, f"_{name}")()
+        return self._once(name, getattr(self, f"_{name}"))
 
     def _measuring_point(self):
         return self.table("customer").select(
@@ -261,6 +268,9 @@ class Fixtures:
         )
 
     def _dated_orders(self):
+        return self._once("dated orders", self._order_spans)
+
+    def _order_spans(self):
         orders = self.table("orders").withColumn("start_date", F.col("o_orderdate").cast("timestamp"))
         return next_start(orders, "o_custkey", "start_date", "o_orderkey")
 

@@ -15,6 +15,7 @@ from meterloom.functions.timeslots import (
     slot_timestamp,
     snap,
 )
+from meterloom.operators.enrich import interval_join
 from meterloom.operators.grid import clipped_grid, own_window_grid, time_bounds
 from meterloom.operators.pivoting import absent_as, pivot_max
 from meterloom.operators.restrict import (
@@ -101,23 +102,19 @@ def iv_before_inspection(f):
     return curves.iv_before_inspection(f.iv, inventory.inspections_with_points(f))
 
 
-def _batch(f):
-    return inventory.inspection_batches(f, BATCH_SIZE).drop("batch_number")
-
-
 @check
 def energy_before_inspection(f):
-    return curves.energy_before_inspection(f.om, _batch(f))
+    return curves.energy_before_inspection(f.om, inventory.inspected_points(f))
 
 
 @check
 def energy_before_inspection_legacy(f):
-    return curves.energy_before_inspection(f.om, _batch(f), legacy=True)
+    return curves.energy_before_inspection(f.om, inventory.inspected_points(f), legacy=True)
 
 
 @check
 def energy_before_inspection_missing_magnitude(f):
-    return curves.energy_before_inspection(f.om_missing, _batch(f), rollover=True)
+    return curves.energy_before_inspection(f.om_missing, inventory.inspected_points(f), rollover=True)
 
 
 # the long extract
@@ -135,7 +132,9 @@ def indirect_extract_legacy_labels(f):
 
 @check
 def interval_join_contract_tariff(f):
-    joined = extract.with_point_history(f.long_readings, inventory.point_history(f))
+    joined = interval_join(
+        f.long_readings, [extract.point_spans(inventory.point_history(f))]
+    )
     return joined.select(
         "rowkey",
         "measuring_point",
@@ -153,7 +152,9 @@ def interval_join_contract_tariff(f):
 
 @check
 def interval_join_equipment(f):
-    joined = extract.with_equipment(f.long_readings, inventory.equipment_history(f))
+    joined = interval_join(
+        f.long_readings, [extract.equipment_spans(inventory.equipment_history(f))]
+    )
     return joined.select(
         "rowkey", "date", "value", "EQUIP_START_DATE", "EQUIP_END_DATE", "BADGE_NUMBER"
     )
@@ -174,10 +175,7 @@ def lookup_magnitude(f):
 
 @check
 def union_iv_om(f):
-    points = inventory.indirect_points(f)
-    return extract.instantaneous_part(f.iv, points, START, STOP).unionByName(
-        extract.energy_part(f.om, points, START, STOP)
-    )
+    return extract.window_readings(f.iv, f.om, inventory.indirect_points(f), START, STOP)
 
 
 # grid, pivot, bounds
@@ -250,7 +248,7 @@ def inspection_batches(f):
 
 @check
 def inspection_batch(f):
-    return inventory.inspected_points(f, 2, BATCH_SIZE)
+    return inventory.inspected_points(f, batch=2, size=BATCH_SIZE)
 
 
 @check
@@ -290,7 +288,7 @@ def union_distinct_magnitudes(f):
 
 @check
 def inspection_date_format(f):
-    return inventory.inspection_dates(_batch(f))
+    return inventory.inspection_dates(inventory.inspected_points(f))
 
 
 # restrictions
@@ -308,7 +306,7 @@ def restrict_points_window_om(f):
 
 @check
 def restrict_own_window(f):
-    windows = inspection_windows(_batch(f), "PUNTO_MEDIDA_INTERNO", "PUNTO_SERVICIO")
+    windows = inspection_windows(inventory.inspected_points(f), "PUNTO_MEDIDA_INTERNO", "PUNTO_SERVICIO")
     return own_window(f.om, windows, "day")
 
 

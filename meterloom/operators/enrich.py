@@ -5,42 +5,43 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.operators.spans import span_join
+from meterloom.operators.spans import Spans, span_join
 from meterloom.operators.spread import BROADCAST_ROWS, bounded_join
 
 
+def validity(history: DataFrame, key: str, intervals: Sequence[tuple[str, str]]) -> Spans:
+    """History rows valid while all their intervals hold.
+
+    An interval holds after its start, up to and including its end, a null end being open;
+    several are one span from the latest start to the earliest end.  In epoch microseconds.
+    """
+    starts = [F.unix_micros(F.col(begin).cast("timestamp")) for begin, _ in intervals]
+    ends = [F.unix_micros(F.col(end).cast("timestamp")) for _, end in intervals]
+    known = history.dropna(subset=[begin for begin, _ in intervals])
+    return Spans(
+        known,
+        key,
+        F.greatest(*starts) if len(starts) > 1 else starts[0],
+        F.least(*ends) if len(ends) > 1 else ends[0],
+        low_open=True,
+    )
+
+
 def interval_join(
     readings: DataFrame,
-    history: DataFrame,
-    on: tuple[str, str],
-    intervals: Sequence[tuple[str, str]],
+    histories: Sequence[Spans],
+    key: str = "measuring_point",
     time: str = "date",
     window: tuple[int, int] | None = None,
-    max_rows: int = BROADCAST_ROWS,
     **settings,
 ) -> DataFrame:
-    """Attach the history rows valid at a reading's timestamp.
+    """Attach to each reading the rows of every history that are valid at its timestamp.
 
-    Every interval must hold: after its start, up to and including its end, a null end being
-    open.  Several intervals are one span from the latest start to the earliest end.
-    ``window`` is in epoch ms.
+    ``window`` is a known range around the times, in epoch ms.
     """
-    starts = [F.unix_micros(F.col(begin).cast("timestamp")) for begin, _ in intervals]
-    ends = [F.unix_micros(F.col(end).cast("timestamp")) for _, end in intervals]
-    known = history
-    for begin, _ in intervals:
-        known = known.filter(F.col(begin).isNotNull())
+    micros = None if window is None else (window[0] * 1000, window[1] * 1000)
     return span_join(
-        readings,
-        known,
-        on,
-        F.unix_micros(F.col(time)),
-        F.greatest(*starts) if len(starts) > 1 else starts[0],
-        F.least(*ends) if len(ends) > 1 else ends[0],
-        low_open=True,
-        window=None if window is None else (window[0] * 1000, window[1] * 1000),
-        max_rows=max_rows,
-        **settings,
+        readings, key, F.unix_micros(F.col(time)), histories, window=micros, **settings
     )
 
 

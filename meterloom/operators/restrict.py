@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import HOUR_MS, date_ms, day_start_hours, report_date, whole
-from meterloom.operators.spans import span_join
+from meterloom.operators.spans import Spans, span_join
 from meterloom.operators.spread import BROADCAST_ROWS, bounded_join, fits, row_identity
 from meterloom.sources.tables import point_ids
 
@@ -100,17 +100,20 @@ def own_window(
     """
     unit = HOUR_MS if time == "day" else 1
     earliest, latest = outer_window(windows)
-    return span_join(
-        readings.filter(F.col(time).between(earliest, latest + unit - 1)),
+    spans = Spans(
         windows,
-        ("measuring_point", "point"),
-        whole(F.col(time), unit),
+        "point",
         whole(F.col("window_start"), unit),
         whole(F.col("window_stop"), unit),
+    )
+    return span_join(
+        readings.filter(F.col(time).between(earliest, latest + unit - 1)),
+        "measuring_point",
+        whole(F.col(time), unit),
+        [spans],
         how="left_semi",
         window=(earliest // unit, latest // unit),
         max_rows=max_rows,
-        salt_by=row_identity(readings),
     )
 
 

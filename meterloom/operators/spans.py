@@ -6,77 +6,140 @@ and also spreads one busy point over as many keys as there are buckets.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import whole
-from meterloom.operators.spread import BROADCAST_ROWS, HOT_ROWS, SALT, fits, spread
+from meterloom.operators.spread import (
+    BROADCAST_ROWS,
+    HOT_ROWS,
+    SALT,
+    copied,
+    hot_keys,
+    row_identity,
+    salted,
+)
 
 BUCKETS = 64
 
-_KEY, _BUCKET, _LOW, _HIGH = "__key", "__bucket", "__low", "__high"
+_TIME, _KEY, _BUCKET, _LOW, _HIGH = "__time", "__key", "__bucket", "__low", "__high"
+
+
+@dataclass(frozen=True)
+class Spans:
+    """Rows that are valid from ``low`` to ``high`` (bigint expressions) for one ``key``.
+
+    A null ``high`` is an open span, a null ``low`` matches nothing.  The high end is inclusive,
+    the low end too unless ``low_open``.
+    """
+
+    rows: DataFrame
+    key: str
+    low: Column
+    high: Column
+    low_open: bool = False
+
+    @property
+    def attributes(self) -> list[str]:
+        return [name for name in self.rows.columns if name != self.key]
 
 
 def span_join(
     readings: DataFrame,
-    spans: DataFrame,
-    on: tuple[str, str],
+    key: str,
     time: Column,
-    low: Column,
-    high: Column,
+    sides: Sequence[Spans],
     how: str = "inner",
-    low_open: bool = False,
     window: tuple[int, int] | None = None,
     buckets: int = BUCKETS,
     max_rows: int = BROADCAST_ROWS,
     salt_by: Sequence[str] | None = None,
-    min_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Join readings to the spans of their key that contain their time.
+    """Join readings to the spans of their key that contain their time, for every side.
+
+    Overlapping spans multiply rows.  ``window`` is a known range around the times, read from the
+    readings when absent.  ``how`` is inner, or left_semi with one side.
 
-    ``time``, ``low`` and ``high`` are bigint expressions in one unit.  A null ``high`` is an open
-    span, a null ``low`` matches nothing; the high end is inclusive, the low end too unless
-    ``low_open``.  Overlapping spans multiply rows.  ``window`` is the known range of the times,
-    looked up from the readings when absent.  ``how`` is inner or left_semi.
+    Each side is measured once.  Sides small enough are broadcast; the others share one
+    exchange of the readings, on key, bucket and salt.
     """
-    left_key, right_key = on
-    timed = readings.withColumn("__time", time)
+    if how not in ("inner", "left_semi") or (how == "left_semi" and len(sides) > 1):
+        raise ValueError(f"unsupported join {how!r} with {len(sides)} sides")
+    timed = readings.withColumn(_TIME, time)
     if window is None:
-        window = timed.agg(F.min("__time"), F.max("__time")).first()
-    first, last = (F.lit(bound).cast("bigint") for bound in window)
-    width = whole(last - first, buckets) + 1
+        window = timed.agg(F.min(_TIME), F.max(_TIME)).first()
+        window = (0, -1) if window[0] is None else window
+    first, last = window
+
+    clipped = [_clip(side, how, first, last) for side in sides]
+    sizes = [_measure(ends, first, last) for ends in clipped]
+    means = [length // rows for rows, length in sizes if rows]
+    width = max([(last - first) // buckets + 1, 1, *means])
+    small = [rows + length // width <= max_rows for rows, length in sizes]
 
-    def bucket_of(moment: Column) -> Column:
-        return whole(moment - first, width)
+    def bucket_of(moment):
+        return whole(moment - F.lit(first).cast("bigint"), width)
 
-    left = timed.filter(F.col("__time").between(first, last)).withColumns(
-        {_BUCKET: bucket_of(F.col("__time")), _KEY: F.col(left_key)}
+    joined = timed.filter(F.col(_TIME).between(first, last)).withColumns(
+        {_KEY: F.col(key), _BUCKET: bucket_of(F.col(_TIME))}
     )
+    cut = [
+        ends.withColumn(
+            _BUCKET,
+            F.explode(
+                F.sequence(
+                    bucket_of(F.greatest(F.col(_LOW), F.lit(first))),
+                    bucket_of(F.least(F.col(_HIGH), F.lit(last))),
+                )
+            ),
+        )
+        for ends in clipped
+    ]
+    if how == "left_semi":
+        cut = [rows.distinct() for rows in cut]
 
-    kept = [name for name in spans.columns if name != right_key]
-    wanted = [F.col(name) for name in kept] if how == "inner" else []
-    ends = spans.select(F.col(right_key).alias(_KEY), low.alias(_LOW), high.alias(_HIGH), *wanted)
+    hot = None
+    if not all(small):
+        hot = hot_keys(joined.select(_KEY, _BUCKET), [_KEY, _BUCKET], hot_rows)
+    for i, side in enumerate(sides):
+        if small[i]:
+            joined = _attach(joined, F.broadcast(cut[i]), [_KEY, _BUCKET], side, how)
+    if hot is not None:
+        joined = salted(joined, hot, [_KEY, _BUCKET], salt_by or row_identity(readings))
+    for i, side in enumerate(sides):
+        if not small[i]:
+            rows = copied(cut[i], hot, [_KEY, _BUCKET])
+            joined = _attach(joined, rows, [_KEY, _BUCKET, SALT], side, how)
+    extra = [] if how == "left_semi" else [name for side in sides for name in side.attributes]
+    return joined.select(*readings.columns, *extra)
+
+
+def _clip(side: Spans, how: str, first: int, last: int) -> DataFrame:
+    """Key, ends and attributes of the spans that touch the window."""
+    attributes = side.attributes if how == "inner" else []
+    ends = side.rows.select(
+        F.col(side.key).alias(_KEY), side.low.alias(_LOW), side.high.alias(_HIGH), *attributes
+    )
     closes_inside = (F.col(_HIGH) >= first) & (F.col(_LOW) <= F.col(_HIGH))
-    touching = ends.filter((F.col(_LOW) <= last) & (F.col(_HIGH).isNull() | closes_inside))
-    from_bucket = bucket_of(F.greatest(F.col(_LOW), first))
-    to_bucket = bucket_of(F.least(F.col(_HIGH), last))
-    right = touching.withColumn(_BUCKET, F.explode(F.sequence(from_bucket, to_bucket)))
-    if how == "left_semi":
-        right = right.distinct()
-
-    begins = F.col("__time") > F.col(_LOW) if low_open else F.col("__time") >= F.col(_LOW)
-    inside = begins & (F.col(_HIGH).isNull() | (F.col("__time") <= F.col(_HIGH)))
-    if fits(right, max_rows):
-        right, keys = F.broadcast(right), [_KEY, _BUCKET]
-    else:
-        left, right = spread(
-            left, right, [_KEY, _BUCKET], salt_by or readings.columns, min_rows=min_rows
-        )
-        keys = [_KEY, _BUCKET, SALT]
-    renamed = right.withColumnsRenamed({name: f"{name}__r" for name in keys})
-    condition = inside
+    return ends.filter((F.col(_LOW) <= last) & (F.col(_HIGH).isNull() | closes_inside))
+
+
+def _measure(ends: DataFrame, first: int, last: int) -> tuple[int, int]:
+    """Number of spans and their total length inside the window."""
+    length = F.least(F.col(_HIGH), F.lit(last)) - F.greatest(F.col(_LOW), F.lit(first))
+    rows, total = ends.agg(F.count(F.lit(1)), F.sum(length.cast("decimal(38,0)"))).first()
+    return rows, int(total or 0)
+
+
+def _attach(joined, rows, keys, side, how):
+    low, high = F.col(_LOW), F.col(_HIGH)
+    begins = F.col(_TIME) > low if side.low_open else F.col(_TIME) >= low
+    condition = begins & (high.isNull() | (F.col(_TIME) <= high))
     for name in keys:
         condition = condition & (F.col(name) == F.col(f"{name}__r"))
-    joined = left.join(renamed, condition, how)
-    return joined.select(*readings.columns, *(kept if how == "inner" else []))
+    renamed = rows.withColumnsRenamed({name: f"{name}__r" for name in keys})
+    result = joined.join(renamed, condition, how)
+    return result if how == "left_semi" else result.drop(_LOW, _HIGH, *[f"{name}__r" for name in keys])

@@ -1,8 +1,8 @@
 """Joins that hold when one key carries a large share of the rows.
 
-A small side is broadcast only after its row count was checked.  Otherwise the join shuffles,
-and keys above a share of all rows are split: the big side is divided into salts by a hash of its
-own columns and the other side is copied once per salt, for those keys only.
+A small side is broadcast only after its row count was checked.  Otherwise the join shuffles, and
+keys with very many rows are split: the big side is divided into salts by a hash of its own
+columns and the other side is copied once per salt, for those keys only.
 """
 
 from collections.abc import Sequence
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
-HOT_SHARE = 1 / 50_000
-HOT_ROWS = 1_000_000
+HOT_ROWS = 2_000_000
+HOT_KEYS = 20_000
 
 SALT = "__salt"
 _SALTS = "__salts"
@@ -29,46 +29,47 @@ def row_identity(readings: DataFrame) -> list[str] | None:
 
 
 def hot_keys(
-    df: DataFrame, keys: Sequence[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = HOT_KEYS
 ) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, with the number of salts each needs.
+    """The largest keys above ``hot_rows`` rows, with the number of salts each needs.
 
-    Fewer than ``1 / share`` keys can exceed the share, which bounds the size of the result.
+    At most ``most`` keys are returned, so the result may be broadcast.  A key beyond them holds
+    less than one ``most``-th of all rows; it is joined unsplit, just as exactly.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    target = F.lit(max(df.count() * share, float(min_rows)))
-    return counts.filter(F.col("__rows") > target).select(
-        *keys, F.ceil(F.col("__rows") / target).cast("bigint").alias(_SALTS)
+    return (
+        counts.filter(F.col("__rows") > hot_rows)
+        .orderBy(F.desc("__rows"), *keys)
+        .limit(most)
+        .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("bigint").alias(_SALTS))
     )
 
 
-def spread(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    salt_by: Sequence[str] | None = None,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
-) -> tuple[DataFrame, DataFrame]:
-    """Both sides with a salt column to add to their common join keys.
+def salted(
+    big: DataFrame, hot: DataFrame, keys: Sequence[str], salt_by: Sequence[str] | None = None
+) -> DataFrame:
+    """Adds the salt of each row of the big side.
 
     ``salt_by`` should name columns that tell rows of one key apart (the row key of a reading);
     all columns by default.  The salt is a pure function of the row, so a recomputed task sends
     every row to the same place.
     """
-    hot = F.broadcast(hot_keys(big, keys, share, min_rows))
     salts = F.coalesce(F.col(_SALTS), F.lit(1))
-    salted = (
-        big.join(hot, list(keys), "left")
+    return (
+        big.join(F.broadcast(hot), list(keys), "left")
         .withColumn(SALT, F.pmod(F.xxhash64(*(salt_by or big.columns)), salts))
         .drop(_SALTS)
     )
-    copied = (
-        small.join(hot, list(keys), "left")
-        .withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), salts - 1)))
+
+
+def copied(small: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Copies rows of hot keys once per salt."""
+    last = F.coalesce(F.col(_SALTS), F.lit(1)) - 1
+    return (
+        small.join(F.broadcast(hot), list(keys), "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
         .drop(_SALTS)
     )
-    return salted, copied
 
 
 def bounded_join(
@@ -78,7 +79,7 @@ def bounded_join(
     how: str = "inner",
     max_rows: int = BROADCAST_ROWS,
     salt_by: Sequence[str] | None = None,
-    min_rows: int = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join on common column names: checked broadcast, else a shuffle with hot keys split.
 
@@ -88,5 +89,6 @@ def bounded_join(
         raise ValueError(f"unsupported join kind {how!r}")
     if fits(small, max_rows):
         return big.join(F.broadcast(small), list(keys), how)
-    salted, copied = spread(big, small, keys, salt_by, min_rows=min_rows)
-    return salted.join(copied, [*keys, SALT], how).drop(SALT)
+    hot = hot_keys(big, keys, hot_rows)
+    left, right = salted(big, hot, keys, salt_by), copied(small, hot, keys)
+    return left.join(right, [*keys, SALT], how).drop(SALT)

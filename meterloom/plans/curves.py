@@ -18,7 +18,7 @@ from meterloom.operators.restrict import (
     points_window,
     prefilter_points,
 )
-from meterloom.operators.spans import span_join
+from meterloom.operators.spans import Spans, span_join
 from meterloom.operators.spread import BROADCAST_ROWS, bounded_join
 from meterloom.schemas import (
     ENERGY_COLUMNS,
@@ -200,13 +200,17 @@ def energy_before_inspection(
     else:
         day_end = DAY_MS if rollover else DAY_MS - 1
         earliest, latest = outer_window(windows)
+        spans = Spans(
+            windows.select("point", "code", "window_start", "window_stop"),
+            "point",
+            F.col("window_start"),
+            F.col("window_stop") + day_end,
+        )
         joined = span_join(
             wide,
-            windows.select("point", "code", "window_start", "window_stop"),
-            ("measuring_point", "point"),
+            "measuring_point",
             F.unix_millis("date") if rollover else date_ms(F.to_date("date")),
-            F.col("window_start"),
-            F.col("window_stop") + F.lit(day_end),
+            [spans],
             window=(earliest, latest + day_end),
             max_rows=max_rows,
             salt_by=["measuring_point", "date"],

@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.labels import interval_label
 from meterloom.functions.timeslots import DAY_MS, second_timestamp, slot_timestamp
-from meterloom.operators.enrich import interval_join, lookup
-from meterloom.operators.restrict import points_hours, points_window
+from meterloom.operators.enrich import interval_join, lookup, validity
+from meterloom.operators.restrict import hours_range, keep_points
+from meterloom.operators.spans import Spans
 from meterloom.operators.spread import BROADCAST_ROWS
 from meterloom.plans import inventory
 from meterloom.plans.inventory import Inventory
@@ -37,16 +38,23 @@ EQUIPMENT = [("EQUIP_START_DATE", "EQUIP_END_DATE")]
 _READING = ("rowkey", "measuring_point", "magnitude", "measurement_interval", "value", "source")
 
 
-def instantaneous_part(
-    iv: DataFrame, points: DataFrame, start: int, stop: int, max_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    reported = iv.filter(F.col("magnitude").isin(*IV_MAGNITUDES))
-    return points_window(reported, points, start, stop, max_rows).select(
+def instantaneous_part(iv: DataFrame, start: int, stop: int) -> DataFrame:
+    reported = iv.filter(F.col("magnitude").isin(*IV_MAGNITUDES) & F.col("date").between(start, stop))
+    return reported.select(
         F.lit("IV").alias("kind"), *_READING, second_timestamp(F.col("date")).alias("date")
     )
 
 
-def energy_part(
+def energy_part(om: DataFrame, start: int, stop: int, rollover: bool = False) -> DataFrame:
+    return hours_range(om, start, stop, QUARTER_HOUR).select(
+        F.lit("OM").alias("kind"),
+        *_READING,
+        slot_timestamp(F.col("day"), F.col("period"), rollover).alias("date"),
+    )
+
+
+def window_readings(
+    iv: DataFrame,
     om: DataFrame,
     points: DataFrame,
     start: int,
@@ -54,20 +62,17 @@ def energy_part(
     rollover: bool = False,
     max_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    kept = points_hours(om, points, start, stop, QUARTER_HOUR, max_rows)
-    return kept.select(
-        F.lit("OM").alias("kind"),
-        *_READING,
-        slot_timestamp(F.col("day"), F.col("period"), rollover).alias("date"),
-    )
+    """Both kinds of readings of the points in a window, in one shape."""
+    both = instantaneous_part(iv, start, stop).unionByName(energy_part(om, start, stop, rollover))
+    return keep_points(both, points, max_rows)
 
 
-def with_point_history(readings: DataFrame, history: DataFrame, **settings) -> DataFrame:
-    return interval_join(readings, history, ("measuring_point", "ID"), CONTRACT_AND_TARIFF, **settings)
+def point_spans(history: DataFrame) -> Spans:
+    return validity(history, "ID", CONTRACT_AND_TARIFF)
 
 
-def with_equipment(readings: DataFrame, equipment: DataFrame, **settings) -> DataFrame:
-    return interval_join(readings, equipment, ("measuring_point", "ID"), EQUIPMENT, **settings)
+def equipment_spans(equipment: DataFrame) -> Spans:
+    return validity(equipment, "ID", EQUIPMENT)
 
 
 def with_source_name(readings: DataFrame, sources: DataFrame, **settings) -> DataFrame:
@@ -103,15 +108,16 @@ def indirect_extract(
     repeats readings under a wrong description.
     """
     points = inventory.indirect_points(inv)
-    readings = instantaneous_part(iv, points, start, stop, max_rows).unionByName(
-        energy_part(om, points, start, stop, rollover, max_rows)
-    )
-    keyed = {"max_rows": max_rows, "salt_by": ["rowkey"]}
+    readings = window_readings(iv, om, points, start, stop, rollover, max_rows)
+    histories = [
+        point_spans(inventory.point_history(inv)),
+        equipment_spans(inventory.equipment_history(inv)),
+    ]
     # slot times lie within a day of the stored day, and that within an hour of the window
-    spanned = {"window": (start - 2 * DAY_MS, stop + 2 * DAY_MS), **keyed}
+    window = (start - 2 * DAY_MS, stop + 2 * DAY_MS)
+    keyed = {"max_rows": max_rows, "salt_by": ["rowkey"]}
     return (
-        readings.transform(with_point_history, inventory.point_history(inv), **spanned)
-        .transform(with_equipment, inventory.equipment_history(inv), **spanned)
+        interval_join(readings, histories, window=window, **keyed)
         .transform(with_source_name, inventory.sources(inv), **keyed)
         .transform(with_magnitude_name, inventory.magnitudes(inv, not legacy_labels), **keyed)
         .transform(report_columns)

@@ -74,20 +74,27 @@ def indirect_points(inv: Inventory) -> DataFrame:
     )
 
 
-def inspection_batches(inv: Inventory, size: int = BATCH_SIZE, batch: int | None = None) -> DataFrame:
-    """The inspection list cut into batches in point order."""
-    listed = inv["inspected_batch"].select("punto_medida_interno", "punto_servicio", "fechai1")
-    return batch_numbers(listed, "punto_medida_interno", size, batch).select(
+def _inspection_list(inv: Inventory) -> DataFrame:
+    return inv["inspected_batch"].select(
         F.col("punto_medida_interno").alias("PUNTO_MEDIDA_INTERNO"),
         F.col("punto_servicio").alias("PUNTO_SERVICIO"),
         F.col("fechai1").alias("FECHAI1"),
-        "batch_number",
     )
 
 
-def inspected_points(inv: Inventory, batch: int, size: int = BATCH_SIZE) -> DataFrame:
-    """One batch of the inspection list."""
-    return inspection_batches(inv, size, batch).drop("batch_number")
+def inspection_batches(inv: Inventory, size: int = BATCH_SIZE) -> DataFrame:
+    """The inspection list cut into batches in point order, with ``batch_number``."""
+    return batch_numbers(_inspection_list(inv), "PUNTO_MEDIDA_INTERNO", size)
+
+
+def inspected_points(
+    inv: Inventory, batch: int | None = None, size: int = BATCH_SIZE
+) -> DataFrame:
+    """One batch of the inspection list, or all of it."""
+    listed = _inspection_list(inv)
+    if batch is None:
+        return listed
+    return batch_numbers(listed, "PUNTO_MEDIDA_INTERNO", size, batch).drop("batch_number")
 
 
 def inspection_dates(inspections: DataFrame, id_column: str = "PUNTO_SERVICIO") -> DataFrame:
