@@ -54,6 +54,4 @@ def lookup(
 ) -> DataFrame:
     """Inner join to a dictionary; ``on`` maps reading columns to dictionary columns."""
     renamed = dictionary.withColumnsRenamed({theirs: ours for ours, theirs in on.items()})
-    joined = bounded_join(readings, renamed, list(on), "inner", max_rows, salt_by)
-    extra = [name for name in renamed.columns if name not in on]
-    return joined.select(*readings.columns, *extra)
+    return bounded_join(readings, renamed, list(on), "inner", max_rows, salt_by)

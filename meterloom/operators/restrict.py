@@ -35,7 +35,8 @@ def prefilter_points(
     """
     ids = point_ids(points).withColumnRenamed("ID", "measuring_point")
     if fits(ids, max_rows):
-        return readings.join(F.broadcast(ids), "measuring_point", "left_semi")
+        kept = readings.join(F.broadcast(ids), "measuring_point", "left_semi")
+        return kept.select(*readings.columns)
     return readings
 
 

@@ -88,7 +88,10 @@ def bounded_join(
     if how not in ("inner", "left", "left_semi"):
         raise ValueError(f"unsupported join kind {how!r}")
     if fits(small, max_rows):
-        return big.join(F.broadcast(small), list(keys), how)
-    hot = hot_keys(big, keys, hot_rows)
-    left, right = salted(big, hot, keys, salt_by), copied(small, hot, keys)
-    return left.join(right, [*keys, SALT], how).drop(SALT)
+        joined = big.join(F.broadcast(small), list(keys), how)
+    else:
+        hot = hot_keys(big, keys, hot_rows)
+        left, right = salted(big, hot, keys, salt_by), copied(small, hot, keys)
+        joined = left.join(right, [*keys, SALT], how)
+    added = [name for name in small.columns if name not in keys and how != "left_semi"]
+    return joined.select(*big.columns, *added)
