@@ -69,9 +69,11 @@ def span_join(
     if how not in ("inner", "left_semi") or (how == "left_semi" and len(sides) > 1):
         raise ValueError(f"unsupported join {how!r} with {len(sides)} sides")
     timed = readings.withColumn(_TIME, time)
+    splittable = True
     if window is None:
-        window = timed.agg(F.min(_TIME), F.max(_TIME)).first()
+        *window, count = timed.agg(F.min(_TIME), F.max(_TIME), F.count(F.lit(1))).first()
         window = (0, -1) if window[0] is None else window
+        splittable = count > hot_rows
     first, last = window
 
     clipped = [_clip(side, how, first, last) for side in sides]
@@ -98,31 +100,36 @@ def span_join(
         )
         for ends in clipped
     ]
-    if how == "left_semi":
-        cut = [rows.distinct() for rows in cut]
-
+    keys = [_KEY, _BUCKET]
     hot = None
-    if not all(small):
-        hot = hot_keys(joined.select(_KEY, _BUCKET), [_KEY, _BUCKET], hot_rows)
+    if splittable and not all(small):
+        hot = hot_keys(joined.select(*keys), keys, hot_rows)
     for i, side in enumerate(sides):
         if small[i]:
-            joined = _attach(joined, F.broadcast(cut[i]), [_KEY, _BUCKET], side, how)
+            joined = _attach(joined, F.broadcast(cut[i]), keys, side, how)
     if hot is not None:
-        joined = salted(joined, hot, [_KEY, _BUCKET], salt_by or row_identity(readings))
+        joined = salted(joined, hot, keys, salt_by or row_identity(readings))
+        cut = [rows if small[i] else copied(rows, hot, keys) for i, rows in enumerate(cut)]
+        keys = [*keys, SALT]
     for i, side in enumerate(sides):
         if not small[i]:
-            rows = copied(cut[i], hot, [_KEY, _BUCKET])
-            joined = _attach(joined, rows, [_KEY, _BUCKET, SALT], side, how)
+            joined = _attach(joined, cut[i], keys, side, how)
     extra = [] if how == "left_semi" else [name for side in sides for name in side.attributes]
     return joined.select(*readings.columns, *extra)
 
 
 def _clip(side: Spans, how: str, first: int, last: int) -> DataFrame:
-    """Key, ends and attributes of the spans that touch the window."""
+    """Key, ends and attributes of the spans that touch the window.
+
+    For a semi join, spans of one key and start are one span up to their latest end.
+    """
     attributes = side.attributes if how == "inner" else []
     ends = side.rows.select(
         F.col(side.key).alias(_KEY), side.low.alias(_LOW), side.high.alias(_HIGH), *attributes
     )
+    if how == "left_semi":
+        latest = F.when(F.count(_HIGH) == F.count(F.lit(1)), F.max(_HIGH))
+        ends = ends.groupBy(_KEY, _LOW).agg(latest.alias(_HIGH))
     closes_inside = (F.col(_HIGH) >= first) & (F.col(_LOW) <= F.col(_HIGH))
     return ends.filter((F.col(_LOW) <= last) & (F.col(_HIGH).isNull() | closes_inside))
 

@@ -66,11 +66,17 @@ def test_report_dates(spark):
         good=timeslots.report_date(F.lit("05/01/2024")),
         short=timeslots.report_date(F.lit("5/1/2024")),
         bad=timeslots.report_date(F.lit("2024-01-05")),
+        none=timeslots.report_date(F.lit(None).cast("string")),
+        **{
+            f"bad{i}": timeslots.report_date(F.lit(text))
+            for i, text in enumerate(["", "05/01", "1/2024", "05/01/24", "05/01/2024/9", "31/02/2024"])
+        },
         compact=timeslots.compact_date(timeslots.report_date(F.lit("05/01/2024"))),
         hours=timeslots.date_hours(timeslots.report_date(F.lit("05/01/2024"))),
     )
     assert got.good == got.short == date(2024, 1, 5)
-    assert got.bad is None
+    assert got.bad is None and got.none is None
+    assert all(got[f"bad{i}"] is None for i in range(6))
     assert got.compact == "20240105"
     assert got.hours == DAY // 3600000
 
