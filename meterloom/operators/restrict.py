@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import HOUR_MS, date_ms, day_start_hours, report_date, whole
 from meterloom.operators.spans import Spans, span_join
-from meterloom.operators.spread import BROADCAST_ROWS, bounded_join, fits, row_identity
+from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS, bounded_join, fits, row_identity
 from meterloom.sources.tables import point_ids
 
 
 def keep_points(
-    readings: DataFrame, points: DataFrame, max_rows: int = BROADCAST_ROWS, id_column: str = "ID"
+    readings: DataFrame, points: DataFrame, max_rows: int = BROADCAST_IDS, id_column: str = "ID"
 ) -> DataFrame:
     """Readings of the listed points."""
     ids = point_ids(points, id_column).withColumnRenamed("ID", "measuring_point")
@@ -26,7 +26,7 @@ def keep_points(
 
 
 def prefilter_points(
-    readings: DataFrame, points: DataFrame, max_rows: int = BROADCAST_ROWS
+    readings: DataFrame, points: DataFrame, max_rows: int = BROADCAST_IDS
 ) -> DataFrame:
     """Drop readings of other points while scanning, if the id list is small enough to broadcast.
 
@@ -41,7 +41,7 @@ def prefilter_points(
 
 
 def points_window(
-    readings: DataFrame, points: DataFrame, start: int, stop: int, max_rows: int = BROADCAST_ROWS
+    readings: DataFrame, points: DataFrame, start: int, stop: int, max_rows: int = BROADCAST_IDS
 ) -> DataFrame:
     """Instantaneous readings of the points, ``start <= date <= stop`` (epoch ms)."""
     return keep_points(readings.filter(F.col("date").between(start, stop)), points, max_rows)
@@ -62,7 +62,7 @@ def points_hours(
     start: int,
     stop: int,
     interval: int,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_IDS,
 ) -> DataFrame:
     return keep_points(hours_range(readings, start, stop, interval), points, max_rows)
 

@@ -22,7 +22,7 @@ from meterloom.operators.spread import (
     salted,
 )
 
-BUCKETS = 64
+BUCKETS = 8192
 
 _TIME, _KEY, _BUCKET, _LOW, _HIGH = "__time", "__key", "__bucket", "__low", "__high"
 
@@ -63,8 +63,10 @@ def span_join(
     Overlapping spans multiply rows.  ``window`` is a known range around the times, read from the
     readings when absent.  ``how`` is inner, or left_semi with one side.
 
-    Each side is measured once.  Sides small enough are broadcast; the others share one
-    exchange of the readings, on key, bucket and salt.
+    Each side is measured once.  A bucket is at least as wide as the mean span, so cutting gives
+    at most three pieces per span on average, and there are at most ``buckets`` buckets.  Sides
+    small enough are broadcast; the others share one exchange of the readings, on key, bucket
+    and salt.
     """
     if how not in ("inner", "left_semi") or (how == "left_semi" and len(sides) > 1):
         raise ValueError(f"unsupported join {how!r} with {len(sides)} sides")
@@ -80,7 +82,8 @@ def span_join(
     sizes = [_measure(ends, first, last) for ends in clipped]
     means = [length // rows for rows, length in sizes if rows]
     width = max([(last - first) // buckets + 1, 1, *means])
-    small = [rows + length // width <= max_rows for rows, length in sizes]
+    # a span touches at most two buckets more than it fills
+    small = [2 * rows + length // width <= max_rows for rows, length in sizes]
 
     def bucket_of(moment):
         return whole(moment - F.lit(first).cast("bigint"), width)

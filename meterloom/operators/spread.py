@@ -10,7 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 200_000  # rows of a few columns
+BROADCAST_IDS = 2_000_000  # rows of one bigint
 HOT_ROWS = 2_000_000
 HOT_KEYS = 20_000
 

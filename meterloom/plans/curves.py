@@ -19,7 +19,7 @@ from meterloom.operators.restrict import (
     prefilter_points,
 )
 from meterloom.operators.spans import Spans, span_join
-from meterloom.operators.spread import BROADCAST_ROWS, bounded_join
+from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS, bounded_join
 from meterloom.schemas import (
     ENERGY_COLUMNS,
     ENERGY_SOURCE,
@@ -82,7 +82,7 @@ def iv_curves(
     stop: int,
     phases: int = 3,
     step: int = STEP_MS,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Voltage and current per point and slot as text, gaps as NaN."""
     names = _phase_columns(phases)
@@ -106,7 +106,7 @@ def energy_curves(
     tz: str | tzinfo = "UTC",
     source: int = ENERGY_SOURCE,
     step: int = STEP_MS,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Active and reactive energy per point and slot.
 

@@ -8,7 +8,7 @@ from meterloom.functions.timeslots import DAY_MS, second_timestamp, slot_timesta
 from meterloom.operators.enrich import interval_join, lookup, validity
 from meterloom.operators.restrict import hours_range, keep_points
 from meterloom.operators.spans import Spans
-from meterloom.operators.spread import BROADCAST_ROWS
+from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS
 from meterloom.plans import inventory
 from meterloom.plans.inventory import Inventory
 from meterloom.schemas import QUARTER_HOUR
@@ -60,7 +60,7 @@ def window_readings(
     start: int,
     stop: int,
     rollover: bool = False,
-    max_rows: int = BROADCAST_ROWS,
+    max_rows: int = BROADCAST_IDS,
 ) -> DataFrame:
     """Both kinds of readings of the points in a window, in one shape."""
     both = instantaneous_part(iv, start, stop).unionByName(energy_part(om, start, stop, rollover))

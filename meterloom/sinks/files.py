@@ -3,7 +3,8 @@
 from collections.abc import Sequence
 from datetime import datetime, tzinfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import zone
 
@@ -30,6 +31,12 @@ def arrange(df: DataFrame, sort_by: Sequence[str] | None, num_files: int | None)
     return df if num_files is None else df.repartition(num_files)
 
 
+def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
+    """The frame and an observation of its row count, filled by the write that consumes it."""
+    observation = Observation(name)
+    return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
+
+
 def write_csv(
     df: DataFrame,
     path: str,

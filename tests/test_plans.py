@@ -13,7 +13,7 @@ from meterloom.functions.timeslots import DAY_MS, STEP_MS
 from meterloom.operators.restrict import points_window
 from meterloom.plans import curves, extract, inventory
 from meterloom.schemas import CELLS, EVENT, IV, OM
-from meterloom.sinks.files import run_stamp, stamped, write_csv, write_parquet
+from meterloom.sinks.files import counted, run_stamp, stamped, write_csv, write_parquet
 from meterloom.sources.tables import INVENTORY_TABLES, jdbc_options, read_inventory, read_readings
 from tests.conftest import rows
 
@@ -254,7 +254,9 @@ def test_csv_sorted_files_append_and_overwrite(spark, tmp_path):
     assert numbers == list(range(100))
     write_csv(df, path, header=False, mode="overwrite", sort_by=["n"])
     assert [int(line.split(",")[0]) for lines in csv_lines(path) for line in lines] == list(range(100))
-    write_parquet(df, f"{tmp_path}/parquet", num_files=2)
+    observed, count = counted(df)
+    write_parquet(observed, f"{tmp_path}/parquet", num_files=2)
+    assert count.get == {"rows": 100}
     assert rows(spark.read.parquet(f"{tmp_path}/parquet")) == rows(df)
 
 
