@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from meterloom.functions.keys import iv_row_key, om_row_key
 from meterloom.functions.timeslots import DAY_MS, STEP_MS, snap, whole
+from meterloom.operators.spread import bounded_join
 from meterloom.schemas import IV, OM, QUALIFIERS, SCHEMAS
 
 FIRST_DAY = "2024-01-01"
@@ -238,7 +239,7 @@ class Fixtures:
         members = self.table("customer").select(
             F.col("c_custkey").alias("measuring_point"), F.col("c_mktsegment").alias("code")
         )
-        return members.join(groups, "code").select(
+        return bounded_join(members, groups, ["code"]).select(
             "measuring_point", F.col("id").alias("measuring_point_group")
         )
 
@@ -287,7 +288,7 @@ class Fixtures:
         tariffs = self._tariff_structure().select(
             F.col("code").alias("o_orderpriority"), F.col("id").alias("tariff_structure")
         )
-        return self.table("orders").join(tariffs, "o_orderpriority").select(
+        return bounded_join(self.table("orders"), tariffs, ["o_orderpriority"]).select(
             F.col("o_orderkey").alias("commercial_data"),
             "tariff_structure",
             start.alias("tariff_structure_start_date"),
@@ -359,7 +360,8 @@ class Fixtures:
 
     def _inspected_list(self):
         """Points that sent an error event are inspected."""
-        failing = self.table("events").filter(F.col("event_type") == "error")
+        errors = self.table("events").filter(F.col("event_type") == "error")
+        failing = errors.select("user_id").distinct()
         return (
             self.table("customer")
             .join(failing, F.col("c_custkey") == F.col("user_id"), "left_semi")

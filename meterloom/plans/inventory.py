@@ -1,7 +1,9 @@
 """Queries over the relational inventory, as joins of its tables.
 
-``inv`` maps table names to DataFrames (see ``sources.tables``).  No join is hinted: inventory
-tables differ in size, so Spark picks broadcast or shuffle by their sizes and splits skew.
+``inv`` maps table names to DataFrames (see ``sources.tables``).  Joins of point to point tables
+carry no hint: their keys spread, and Spark picks broadcast or shuffle by size.  Dictionaries of a
+few codes (offices, voltages, tariffs) go through a checked broadcast instead, as a shuffle on so
+few keys would leave most tasks idle.
 """
 
 from collections.abc import Mapping
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import compact_date, report_date
 from meterloom.operators.batches import batch_numbers
+from meterloom.operators.spread import bounded_join
 
 Inventory = Mapping[str, DataFrame]
 
@@ -61,7 +64,7 @@ def points_by_plate(inv: Inventory) -> DataFrame:
 
 def _indirect_ids(inv: Inventory) -> DataFrame:
     scaled = inv["equipment_point_configuration"].filter(F.col("reading_constant") > 1)
-    return scaled.select(F.col("measuring_point").alias("id"))
+    return scaled.select(F.col("measuring_point").alias("id")).distinct()
 
 
 def indirect_points(inv: Inventory) -> DataFrame:
@@ -203,12 +206,12 @@ def point_history(inv: Inventory) -> DataFrame:
     return (
         points.select(F.col("id").alias("ID"), F.col("code").alias("CODE"), "location_data")
         .join(location, "location_data")
-        .join(owner, "owner")
+        .transform(bounded_join, owner, ["owner"])
         .join(technical, "ID")
-        .join(voltage, "voltage_level")
+        .transform(bounded_join, voltage, ["voltage_level"])
         .join(commercial, "ID")
         .join(billing, "commercial_data")
-        .join(tariff, "tariff_structure")
+        .transform(bounded_join, tariff, ["tariff_structure"])
         .select(
             "ID",
             "CODE",
