@@ -20,8 +20,8 @@ _SALTS = "__salts"
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a frame has at most ``max_rows`` rows; counts no further than that."""
-    return max_rows > 0 and df.limit(max_rows + 1).count() <= max_rows
+    """Whether a frame has at most ``max_rows`` rows, by a count that is summed per partition."""
+    return max_rows > 0 and df.count() <= max_rows
 
 
 def row_identity(readings: DataFrame) -> list[str] | None:

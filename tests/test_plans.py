@@ -234,7 +234,7 @@ def test_schemas():
 def test_stamps():
     now = datetime(2024, 1, 5, 1, 30, tzinfo=timezone.utc)
     assert run_stamp(now=now) == "202401050130"
-    assert stamped("/out/", "America/Montevideo", now) == "/out/202401042230"
+    assert stamped("/out/", "America/Sao_Paulo", now) == "/out/202401042230"
 
 
 def csv_lines(path):
