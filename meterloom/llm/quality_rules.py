@@ -87,17 +87,23 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def breaks(limits: dict[str, float], factor: float) -> Column:
-    """Whether a soft rule is broken by more than the factor."""
-    words = F.col("n_words").cast("double")
+def breaks(limits: dict[str, float], factor: float, where: str = "") -> Column:
+    """Whether a soft rule is broken by more than the factor; where: what precedes the counts' names."""
+    n = {c: F.col(where + c) for c in COUNTS}
+    words = n["n_words"].cast("double")
     return (
-        (F.col("n_symbols") > limits["symbols"] * factor * words)
-        | (F.col("n_dup_lines") > F.least(F.lit(limits["dup_lines"] * factor), F.lit(0.9)) * F.col("n_lines"))
-        | (F.col("word_chars") * factor < limits["short"] * words)
-        | (F.col("word_chars") > limits["long"] * factor * words)
+        (n["n_symbols"] > limits["symbols"] * factor * words)
+        | (n["n_dup_lines"] > F.least(F.lit(limits["dup_lines"] * factor), F.lit(0.9)) * n["n_lines"])
+        | (n["word_chars"] * factor < limits["short"] * words)
+        | (n["word_chars"] > limits["long"] * factor * words)
     )
 
 
+def base_fails(where: str = "") -> Column:
+    words = F.col(where + "n_words")
+    return (words < MIN_WORDS) | (100 * F.col(where + "n_repeat_words") > int(100 * MAX_REPEATED) * words)
+
+
 def host_verdicts(flagged: DataFrame, strict_rate: float) -> DataFrame:
     """host, n_docs, n_failed, shrunk_rate, strict; flagged has host and fails.
 
@@ -126,11 +132,36 @@ def quality_rules(docs: DataFrame, host: str = "source", limits: dict[str, float
     flagged = counted.withColumn("fails", breaks(limits, 1.0)).withColumn("gross", breaks(limits, gross))
     strict = host_verdicts(flagged, strict_rate).filter("strict").select(F.col("host").alias("h"), "strict")
     joined = flagged.join(checked_broadcast(strict, "h"), F.col("host").eqNullSafe(F.col("h")), "left")
-    base = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > int(100 * MAX_REPEATED) * F.col("n_words"))
+    base = base_fails()
     host_strict = F.coalesce("strict", F.lit(False))
     goes = base | F.col("gross") | (F.col("fails") & host_strict)
     return joined.select("doc_id", *(c for c in COUNTS if c != "n_lines"), base.alias("base_failed"), (~goes).alias("kept"), "fails", host_strict.alias("host_strict"))
 
 
+def keep_passing(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The documents that the rules keep, with all their columns.
+
+    A document's own counts decide but for its host's verdict, so they are made again beside the rows
+    instead of joining verdicts by id: no text is shuffled, and rows that repeat an id are told apart."""
+    import pyspark.sql.types as T
+
+    narrow = docs.select("doc_id", "text", F.col(f"`{host}`").cast("string").alias("host"))
+    schema = "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS)
+    counted = narrow.mapInArrow(_counted, schema).withColumn("fails", breaks(SOFT, 1.0)).select("host", "fails")
+    strict = host_verdicts(stored(counted, "quality-fails"), STRICT_RATE).filter("strict").select(F.col("host").alias("__host"), "strict")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches):
+            found = count_rules(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[c], pa.int64()) for c in COUNTS)], names=[*batch.schema.names, *(f"__{c}" for c in COUNTS)])
+
+    beside = docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(f"__{c}", T.LongType()) for c in COUNTS)]))
+    joined = beside.join(checked_broadcast(strict, "__host"), F.col(f"`{host}`").cast("string").eqNullSafe(F.col("__host")), "left")
+    counts = F.struct(*(F.col(f"__{c}").alias(c) for c in COUNTS)).alias("c")
+    flags = joined.select(*(joined[f"`{c}`"] for c in docs.columns), F.coalesce("strict", F.lit(False)).alias("__strict"), counts)
+    base, fails, gross = base_fails("c."), breaks(SOFT, 1.0, "c."), breaks(SOFT, GROSS, "c.")
+    return flags.filter(~(base | gross | (fails & F.col("__strict")))).select(*(f"`{c}`" for c in docs.columns))
+
+
 def op2_quality_rules(spark, sf_dir) -> DataFrame:
     return quality_rules(spark.read.parquet(f"{sf_dir}/documents.parquet"))
