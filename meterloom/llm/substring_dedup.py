@@ -39,7 +39,7 @@ LENGTH = 200
 #: A perfect difference cover: every difference modulo 133 is that of two elements (fixed values of the cover for 11).
 V = 133
 COVER = (0, 1, 3, 12, 20, 34, 38, 81, 88, 94, 104, 109)
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Text bytes a bucket of keys stands for.
 BUCKET_BYTES = 16 << 20
 SLICE = 1 << 19
@@ -100,10 +100,10 @@ def candidates(places: np.ndarray, tied: np.ndarray, offsets: np.ndarray, length
     """Suffixes with length bytes left and a tied sample at a shift below V, in the same text."""
     at = places[tied]
     doc = np.searchsorted(offsets, at, side="right") - 1
-    mark = np.zeros(int(offsets[-1]) + 1, np.int32)
+    mark = np.zeros(int(offsets[-1]) + 1, np.int16)  # at most V at a place
     np.add.at(mark, np.maximum(at - V + 1, offsets[doc]), 1)
     np.add.at(mark, at + 1, -1)
-    found = np.flatnonzero(np.cumsum(mark[:-1]) > 0)
+    found = np.flatnonzero(np.cumsum(mark[:-1], dtype=np.int16) > 0)
     end = offsets[np.searchsorted(offsets, found, side="right")]
     return found[end - found >= length]
 
@@ -255,6 +255,20 @@ def _candidates(data, offsets, replies, length, size, n_buckets) -> np.ndarray:
     return candidates(places, tied, offsets, length)
 
 
+def spans(again: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(whether each byte is covered by a string that begins at again, begins and ends of the maximal runs in a text)."""
+    mark = np.zeros(int(offsets[-1]) + 1, np.int16)  # at most length at a place, and length < 2^15
+    mark[again] += 1
+    mark[again + length] -= 1
+    gone = np.cumsum(mark[:-1], dtype=np.int16) > 0
+    edge = np.ones(len(gone) + 1, bool)
+    edge[1:-1] = gone[1:] != gone[:-1]
+    edge[offsets] = True
+    cut = np.flatnonzero(edge)
+    inside = gone[cut[:-1]] if len(gone) else np.zeros(0, bool)
+    return gone, cut[:-1][inside], cut[1:][inside]
+
+
 def _removed(length: int, n_buckets: int):
     size = length - V + 1
 
@@ -264,29 +278,21 @@ def _removed(length: int, n_buckets: int):
                 _, data, offsets = _opened(batch, i)
                 found = _candidates(data, offsets, _replied(batch, i, "ranks"), length, size, n_buckets)
                 again = found[answers(hashes_at(data, found, length), _replied(batch, i, "ties"), n_buckets)]
-                mark = np.zeros(len(data) + 1, np.int32)
-                mark[again] += 1
-                mark[again + length] -= 1
-                gone = np.cumsum(mark[:-1]) > 0
-                first = gone.copy()
-                first[1:] &= ~gone[:-1]
-                starts = offsets[:-1][np.diff(offsets) > 0]
-                first[starts] = gone[starts]
-                total, runs = (np.concatenate([[0], np.cumsum(x)]) for x in (gone, first))
+                gone, begin, end = spans(again, offsets, length)
+                cut = np.searchsorted(begin, offsets)
+                removed = np.concatenate([[0], np.cumsum(end - begin)])[cut]
                 shas = []
                 for a, b in zip(offsets.tolist(), offsets[1:].tolist(), strict=False):
                     shas.append(hashlib.sha256(data[a:b][~gone[a:b]].tobytes()).hexdigest())
-                edges = np.flatnonzero(first), np.flatnonzero(gone & ~np.append(gone[1:], False) | gone & np.append(first[1:], False)) + 1
-                cut = np.searchsorted(edges[0], offsets)
                 yield pa.record_batch(
                     {
                         "doc_id": pa.array(batch.column("ids")[i].values, pa.int64()),
                         "n_bytes": pa.array(np.diff(offsets), pa.int64()),
-                        "n_removed": pa.array(total[offsets[1:]] - total[offsets[:-1]], pa.int64()),
-                        "n_spans": pa.array(runs[offsets[1:]] - runs[offsets[:-1]], pa.int64()),
+                        "n_removed": pa.array(np.diff(removed), pa.int64()),
+                        "n_spans": pa.array(np.diff(cut), pa.int64()),
                         "kept_sha256": pa.array(shas, pa.string()),
-                        "span_starts": pa.array([(edges[0][a:b] - o).tolist() for a, b, o in zip(cut, cut[1:], offsets, strict=False)], pa.list_(pa.int64())),
-                        "span_ends": pa.array([(edges[1][a:b] - o).tolist() for a, b, o in zip(cut, cut[1:], offsets, strict=False)], pa.list_(pa.int64())),
+                        "span_starts": pa.array([(begin[a:b] - o).tolist() for a, b, o in zip(cut, cut[1:], offsets, strict=False)], pa.list_(pa.int64())),
+                        "span_ends": pa.array([(end[a:b] - o).tolist() for a, b, o in zip(cut, cut[1:], offsets, strict=False)], pa.list_(pa.int64())),
                     }
                 )
 
@@ -310,8 +316,8 @@ def _exchange(keys: DataFrame, n_buckets: int, name: str) -> DataFrame:
 
 def repeated_substrings(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """A row per document: doc_id, n_bytes, n_removed, n_spans, kept_sha256, span_starts, span_ends (bytes)."""
-    if length <= V:
-        raise ValueError(f"length must be over {V}, the cover's period")
+    if not V < length < 1 << 15:
+        raise ValueError(f"length must be over {V}, the cover's period, and under 32768")
     narrow = columns(docs, "doc_id", "text")
     total = narrow.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first()["n"]
     blocks = _placed(narrow.mapInArrow(_blocks, "block long, ids array<long>, sizes array<long>, data binary"), max(8, 2 * total // BLOCK_BYTES))
