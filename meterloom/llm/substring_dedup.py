@@ -221,14 +221,19 @@ def _among(keys: np.ndarray, some: np.ndarray) -> np.ndarray:
 
 def answers(keys: np.ndarray, replies: dict[int, bytes], n_buckets: int) -> np.ndarray:
     """For each key of a block, whether it occurs anywhere else: in another block by the replies, or in its own."""
-    own = np.unique(keys)
+    order = np.argsort(keys)
+    row = keys[order]
+    first = np.ones(len(row), bool)
+    first[1:] = row[1:] != row[:-1]
+    own = row[first]
     edges = bucket_edges(own, n_buckets)
-    tied = np.zeros(len(own), bool)
-    for bucket, row in replies.items():
+    tied = np.diff(np.append(np.flatnonzero(first), len(row))) > 1
+    for bucket, bits in replies.items():
         a, b = int(edges[bucket]), int(edges[bucket + 1])
-        tied[a:b] = np.unpackbits(np.frombuffer(row, np.uint8), count=b - a).astype(bool)
-    tied |= _among(own, _repeated_in(keys))
-    return tied[np.searchsorted(own, keys)]
+        tied[a:b] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=b - a).astype(bool)
+    out = np.empty(len(row), bool)
+    out[order] = tied[np.cumsum(first) - 1]
+    return out
 
 
 def _replied(batch: pa.RecordBatch, i: int, column: str) -> dict[int, bytes]:
