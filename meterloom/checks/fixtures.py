@@ -324,7 +324,8 @@ class Fixtures:
         return codes.withColumn("name", name)
 
     def _numbered(self, count, text):
-        ids = self.table("events").select((F.col("event_id") % count + 1).alias("id")).distinct()
+        ids = self.table("nation").filter(F.col("n_nationkey") < count)
+        ids = ids.select((F.col("n_nationkey") + 1).cast("bigint").alias("id"))
         return ids.withColumn("description", F.concat(F.lit(text), F.col("id").cast("string")))
 
     def _magnitude(self):

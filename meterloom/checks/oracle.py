@@ -97,9 +97,10 @@ _FRAMES = {
         SELECT DISTINCT source AS source_id,
                CASE source WHEN 21 THEN 'manual' WHEN 41 THEN 'remote' END AS source_name FROM ev""",
     "magnitude_names": """
-        SELECT 'OM' AS kind, event_id % 6 + 1 AS magnitude_id,
-               'energy ' || (event_id % 6 + 1) AS description FROM events
-        UNION SELECT 'IV', event_id % 24 + 1, 'instantaneous ' || (event_id % 24 + 1) FROM events""",
+        SELECT 'OM' AS kind, CAST(n_nationkey + 1 AS BIGINT) AS magnitude_id,
+               'energy ' || (n_nationkey + 1) AS description FROM nation WHERE n_nationkey < 6
+        UNION SELECT 'IV', CAST(n_nationkey + 1 AS BIGINT), 'instantaneous ' || (n_nationkey + 1)
+        FROM nation WHERE n_nationkey < 24""",
     "service_point": """
         SELECT c_custkey, c_name AS punto_servicio,
                CASE WHEN c_custkey % 3 = 0 THEN '070' ELSE '080' END || c_custkey AS numero_placa,

@@ -33,14 +33,13 @@ def absent_as(
     fill: float = -1.0,
     magnitude: str = "magnitude",
 ) -> DataFrame:
-    """Fill a column whose magnitude occurs nowhere in ``readings``; absent cells stay null."""
-    present = readings.agg(
-        F.array(*[F.max(F.col(magnitude) == number) for number in names]).alias("present")
-    ).scalar()
-    filled = {
-        name: F.when(F.coalesce(F.get(present, F.lit(i)), F.lit(False)), F.col(name)).otherwise(
-            F.lit(fill)
-        )
-        for i, name in enumerate(names.values())
-    }
+    """Fill a column whose magnitude occurs nowhere in ``readings``; absent cells stay null.
+
+    Each magnitude is probed for on its own: a task stops at the first reading that has it.
+    """
+    filled = {}
+    for number, name in names.items():
+        found = readings.filter(F.col(magnitude) == number).select(F.lit(True).alias("found"))
+        present = F.coalesce(found.limit(1).scalar(), F.lit(False))
+        filled[name] = F.when(present, F.col(name)).otherwise(F.lit(fill))
     return wide.withColumns(filled)

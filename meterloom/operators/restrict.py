@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import HOUR_MS, date_ms, day_start_hours, report_date, whole
 from meterloom.operators.spans import Spans, span_join
-from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS, bounded_join, fits, row_identity
+from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS, bounded_join, row_identity
 from meterloom.sources.tables import point_ids
 
 
@@ -28,16 +28,11 @@ def keep_points(
 def prefilter_points(
     readings: DataFrame, points: DataFrame, max_rows: int = BROADCAST_IDS
 ) -> DataFrame:
-    """Drop readings of other points while scanning, if the id list is small enough to broadcast.
+    """Drop readings of other points before they are aggregated, whatever the length of the list.
 
-    For plans that join the points again after aggregating: a longer list is left to that join,
-    as shuffling raw readings only to drop some of them would cost more.
+    For plans that join the points again after aggregating.
     """
-    ids = point_ids(points).withColumnRenamed("ID", "measuring_point")
-    if fits(ids, max_rows):
-        kept = readings.join(F.broadcast(ids), "measuring_point", "left_semi")
-        return kept.select(*readings.columns)
-    return readings
+    return keep_points(readings, points, max_rows)
 
 
 def points_window(

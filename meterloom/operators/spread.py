@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000  # rows of a few columns
 BROADCAST_IDS = 2_000_000  # rows of one bigint
 HOT_ROWS = 2_000_000
-HOT_KEYS = 20_000
+HOT_SHARE = 2_000_000  # a key with more than this share of all rows is hot at any size
+
+NULL_SALTS = 4096
 
 SALT = "__salt"
 _SALTS = "__salts"
@@ -29,20 +31,18 @@ def row_identity(readings: DataFrame) -> list[str] | None:
     return ["rowkey"] if "rowkey" in readings.columns else None
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS, most: int = HOT_KEYS
-) -> DataFrame:
-    """The largest keys above ``hot_rows`` rows, with the number of salts each needs.
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Every key above ``hot_rows`` rows and above one ``HOT_SHARE``-th of all rows, with the number
+    of salts it needs.
 
-    At most ``most`` keys are returned, so the result may be broadcast.  A key beyond them holds
-    less than one ``most``-th of all rows; it is joined unsplit, just as exactly.
+    Fewer than ``HOT_SHARE`` keys can exceed that share, so the result may be broadcast and no key
+    is left out; an unsplit key has at most ``hot_rows`` rows or that share.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    return (
-        counts.filter(F.col("__rows") > hot_rows)
-        .orderBy(F.desc("__rows"), *keys)
-        .limit(most)
-        .select(*keys, F.ceil(F.col("__rows") / hot_rows).cast("bigint").alias(_SALTS))
+    share = counts.agg(F.floor(F.sum("__rows") / HOT_SHARE)).scalar()
+    limit = F.greatest(F.lit(hot_rows), share)
+    return counts.filter(F.col("__rows") > limit).select(
+        *keys, F.ceil(F.col("__rows") / limit).cast("bigint").alias(_SALTS)
     )
 
 
@@ -55,7 +55,11 @@ def salted(
     all columns by default.  The salt is a pure function of the row, so a recomputed task sends
     every row to the same place.
     """
-    salts = F.coalesce(F.col(_SALTS), F.lit(1))
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    # a null key meets nothing, so such rows may go anywhere
+    salts = F.when(missing, F.lit(NULL_SALTS)).otherwise(F.coalesce(F.col(_SALTS), F.lit(1)))
     return (
         big.join(F.broadcast(hot), list(keys), "left")
         .withColumn(SALT, F.pmod(F.xxhash64(*(salt_by or big.columns)), salts))

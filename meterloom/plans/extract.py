@@ -101,6 +101,7 @@ def indirect_extract(
     legacy_labels: bool = False,
     rollover: bool = False,
     max_rows: int = BROADCAST_ROWS,
+    max_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """All readings of the indirect points in a window, one row per valid set of attributes.
 
@@ -108,7 +109,7 @@ def indirect_extract(
     repeats readings under a wrong description.
     """
     points = inventory.indirect_points(inv)
-    readings = window_readings(iv, om, points, start, stop, rollover, max_rows)
+    readings = window_readings(iv, om, points, start, stop, rollover, max_ids)
     histories = [
         point_spans(inventory.point_history(inv)),
         equipment_spans(inventory.equipment_history(inv)),

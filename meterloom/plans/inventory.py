@@ -134,17 +134,15 @@ def count_three_phase_points(inv: Inventory) -> DataFrame:
     return _three_phase_installs(inv).agg(F.countDistinct("punto_servicio").alias("points"))
 
 
-def latest_inspections(inv: Inventory, row_cap: int | None = None) -> DataFrame:
+def latest_inspections(inv: Inventory) -> DataFrame:
     """The most recent inspection dates per point code, from the newest extraction day.
 
     Rows of one code and date are collapsed before ranking, so a rank group holds no more rows
-    than a point has inspection dates.  ``row_cap`` keeps that many rows before the ranking.
+    than a point has inspection dates.
     """
     history = inv["inspection_history"].withColumn("extracted", report_date(F.col("fecha")))
     newest = history.agg(F.max("extracted").alias("newest")).scalar()
     current = history.filter((F.col("extracted") == newest) & F.col("fechai1").isNotNull())
-    if row_cap is not None:
-        current = current.orderBy("id", "fechai1", "commit_dttm").limit(row_cap)
     dated = current.groupBy("id", "fechai1").agg(F.max("commit_dttm").alias("commit_dttm"))
     recent = Window.partitionBy("id").orderBy(F.desc("commit_dttm"))
     return (
@@ -154,10 +152,10 @@ def latest_inspections(inv: Inventory, row_cap: int | None = None) -> DataFrame:
     )
 
 
-def inspected_three_phase_points(inv: Inventory, row_cap: int | None = None) -> DataFrame:
+def inspected_three_phase_points(inv: Inventory) -> DataFrame:
     """Distinct (PUNTO_SERVICIO as point id, FECHAI1) of latest inspections made on or after the
     install date of the point's three-phase meter."""
-    latest = latest_inspections(inv, row_cap).withColumn("inspected", report_date(F.col("fechai1")))
+    latest = latest_inspections(inv).withColumn("inspected", report_date(F.col("fechai1")))
     installs = _three_phase_installs(inv).groupBy("punto_servicio").agg(
         F.min("fecha_desde").alias("fecha_desde")
     )

@@ -3,14 +3,17 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from meterloom.checks import oracle, registry
 from tests.conftest import rows
 
-QUERIES = entry_points.queries()
-ORACLE = entry_points.oracle_sql()
+QUERIES = registry.queries()
+ORACLE = oracle.oracle_sql()
 
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_points.queries())
+    assert set(ORACLE) <= set(entry_points.oracle_sql()) <= set(entry_points.queries())
 
 
 def test_entry_runs(spark, base):
