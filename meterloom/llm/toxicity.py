@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> tuple
     grades = found.column("grade").to_numpy(zero_copy_only=False).astype(np.int64)
     table = np.zeros(BUCKETS, np.float32)
     if len(np.unique(grades)) < 2:
-        return table, np.array([np.inf]), 0.5
+        return table, np.zeros(0), 0.5
     rows = [np.array(x.values, np.int64) for x in found.column("buckets")]
     held = np.arange(len(rows)) % 4 == 3
     if len(np.unique(grades[~held])) < 2:
