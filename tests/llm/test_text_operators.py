@@ -271,27 +271,30 @@ def test_lm_scoring(docs):
     found = {r.doc_id: r for r in lm_scoring.score(docs, target).collect()}
     rows = dict(source_rows(docs, "doc_id", "text"))
 
+    def padded(text):
+        return b"\n\n\n\n" + re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+
     def counts(texts):
         c = Counter()
         for t in texts:
-            row = b"\n\n" + re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode())
-            c.update(row[i - 2 : i + 1] for i in range(2, len(row)))
+            row = padded(t)
+            c.update(row[i - 4 : i + 1] for i in range(4, len(row)))
         return c
 
     def loss(c, text, k=lm_scoring.PRIOR):
-        uni, bi, pre, mid = Counter(), Counter(), Counter(), Counter()
+        grams, contexts = Counter(), Counter()
         for g, n in c.items():
-            uni[g[2]] += n
-            bi[g[1:]] += n
-            pre[g[:2]] += n
-            mid[g[1]] += n
-        total, row = 0.0, b"\n\n" + text.encode().lower()
-        for i in range(2, len(row)):
-            g = row[i - 2 : i + 1]
-            p1 = (uni[g[2]] + 1) / (sum(uni.values()) + 256)
-            p2 = (bi[g[1:]] + k * p1) / (mid[g[1]] + k)
-            total -= np.log((c[g] + k * p2) / (pre[g[:2]] + k))
-        return total / (len(row) - 2)
+            for m in (1, 2, 3, 5):
+                grams[g[5 - m :]] += n
+                contexts[m, g[5 - m : -1]] += n
+        total, row = 0.0, padded(text)
+        for i in range(4, len(row)):
+            g = row[i - 4 : i + 1]
+            p = (grams[g[4:]] + 1) / (contexts[1, b""] + 256)
+            for m in (2, 3, 5):
+                p = (grams[g[5 - m :]] + k * p) / (contexts[m, g[5 - m : -1]] + k)
+            total -= np.log(p)
+        return total / (len(row) - 4)
 
     every = counts(t for _, t in source_rows(docs, "doc_id", "text"))
     chosen = counts(t for i, t in source_rows(docs, "doc_id", "text") if i in (6, 9))
