@@ -199,12 +199,13 @@ def _iv_curve(readings, columns, date="date"):
           ON w.measuring_point = b.measuring_point AND w.date = a.slot"""
 
 
-_IV_BEFORE = f"""
+def _iv_before(columns):
+    return f"""
     SELECT g.code AS measuring_point, g.slot // 1000 AS date,
-           {", ".join(_TEXT.format(f"w.{name}", name) for name in _THREE)}
+           {", ".join(_TEXT.format(f"w.{name}", name) for name in columns)}
     FROM (SELECT id, code, unnest(range(window_start, window_stop + 1, {STEP})) AS slot
           FROM windows_failing) g
-    LEFT JOIN ({_iv_pivot("(SELECT * FROM iv WHERE measurement_interval = 1)", _THREE)}) w
+    LEFT JOIN ({_iv_pivot("(SELECT * FROM iv WHERE measurement_interval = 1)", columns)}) w
       ON w.measuring_point = g.id AND w.date = g.slot"""
 
 
@@ -273,7 +274,8 @@ _QUERIES = {
     "grid_iv_curve_monophasic": _iv_curve("iv", _ONE),
     "grid_iv_curve_offgrid": _iv_curve("iv_offgrid", _THREE),
     "grid_iv_curve_snapped": _iv_curve("iv_offgrid", _THREE, "date // 900000 * 900000"),
-    "iv_before_inspection": _IV_BEFORE,
+    "iv_before_inspection": _iv_before(_THREE),
+    "iv_before_inspection_monophasic": _iv_before(_ONE),
     "energy_before_inspection": _energy_before(
         "AND CAST(w.date AS DATE) BETWEEN i.inspected_on - 90 AND i.inspected_on"
     ),

@@ -102,6 +102,11 @@ def iv_before_inspection(f):
     return curves.iv_before_inspection(f.iv, inventory.inspections_with_points(f))
 
 
+@check
+def iv_before_inspection_monophasic(f):
+    return curves.iv_before_inspection(f.iv, inventory.inspections_with_points(f), phases=1)
+
+
 @check
 def energy_before_inspection(f):
     return curves.energy_before_inspection(f.om, inventory.inspected_points(f))

@@ -8,10 +8,11 @@
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from meterloom.functions.timeslots import argument_ms
+from meterloom.functions.timeslots import argument_ms, snap
 from meterloom.plans import curves, extract, inventory
-from meterloom.sinks.files import stamped, write_csv
+from meterloom.sinks.files import stamped, write_csv, write_parquet
 from meterloom.sources.tables import read_inventory, read_jdbc_inventory, read_readings
 
 
@@ -25,7 +26,15 @@ def _parser() -> argparse.ArgumentParser:
             sub.add_argument(f"--{table}", required=True, help=f"path of the {table} reading table")
         sub.add_argument("--inventory", required=True, help="folder of tables, or a jdbc: URL")
         sub.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+        sub.add_argument(
+            "--jdbc-split",
+            action="append",
+            default=[],
+            metavar="TABLE=COLUMN:LOW:HIGH:N",
+            help="read a table in N parts, by a numeric column between two bounds",
+        )
         sub.add_argument("--out", required=True, help="output folder")
+        sub.add_argument("--format", choices=("csv", "parquet"), default="csv")
         sub.add_argument("--tz", default="UTC", help="zone of arguments, days and written times")
         sub.add_argument("--files", type=int, help="number of output files")
         if window:
@@ -37,8 +46,10 @@ def _parser() -> argparse.ArgumentParser:
 
     iv = job("iv-curves", "iv", window="epoch ms", points=True)
     iv.add_argument("--phases", type=int, choices=(1, 3), default=3)
+    iv.add_argument("--snap", action="store_true", help="floor times to the quarter hour")
     before = job("iv-before-inspection", "iv")
     before.add_argument("--days", type=int, default=90)
+    before.add_argument("--phases", type=int, choices=(1, 3), default=3)
     energy = job("energy-curves", "om", window="yyyyMMddHHmm", points=True)
     energy.add_argument("--gaps", choices=("null", "text"), default="null")
     energy.add_argument("--overwrite", action="store_true")
@@ -56,10 +67,30 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+def _splits(texts: list[str]) -> dict[str, dict]:
+    """Split settings of inventory tables, each from ``table=column:low:high:n``."""
+    found = {}
+    for text in texts:
+        table, _, rest = text.partition("=")
+        column, low, high, parts = rest.split(":")
+        found[table] = {"column": column, "bounds": (int(low), int(high)), "partitions": int(parts)}
+    return found
+
+
+def _write(rows: DataFrame, path: str, args, header=True, delimiter=",", **settings) -> None:
+    if args.format == "parquet":
+        written = write_parquet(rows, path, num_files=args.files, **settings)
+    else:
+        written = write_csv(rows, path, header, delimiter, num_files=args.files, **settings)
+    print(f"{written} rows written to {path}")
+
+
 def _inventory(spark: SparkSession, args):
     if args.inventory.startswith("jdbc:"):
         properties = dict(option.split("=", 1) for option in args.jdbc_option)
-        return read_jdbc_inventory(spark, args.inventory, properties=properties)
+        return read_jdbc_inventory(
+            spark, args.inventory, _splits(args.jdbc_split), properties=properties
+        )
     return read_inventory(spark, args.inventory)
 
 
@@ -78,14 +109,15 @@ def _iv_curves(spark, inv, args):
         points = inventory.points_by_plate(inv)
     if _nothing_to_do(points):
         return
-    curve = curves.iv_curves(
-        read_readings(spark, args.iv, "iv"), points, int(args.start), int(args.stop), args.phases
-    )
+    readings = read_readings(spark, args.iv, "iv")
+    if args.snap:
+        readings = readings.withColumn("date", snap(F.col("date")))
+    curve = curves.iv_curves(readings, points, int(args.start), int(args.stop), args.phases)
     folder = "triphasic" if args.phases == 3 else "monophasic"
-    write_csv(
+    _write(
         curve,
         f"{args.out.rstrip('/')}/{folder}",
-        num_files=args.files,
+        args,
         sort_by=["measuring_point", "date"],
     )
 
@@ -95,12 +127,13 @@ def _iv_before_inspection(spark, inv, args):
     if _nothing_to_do(inspections):
         return
     curve = curves.iv_before_inspection(
-        read_readings(spark, args.iv, "iv"), inspections, args.days
+        read_readings(spark, args.iv, "iv"), inspections, args.days, args.phases
     )
-    write_csv(
+    folder = "triphasic" if args.phases == 3 else "monophasic"
+    _write(
         curve,
-        f"{args.out.rstrip('/')}/triphasic",
-        num_files=args.files,
+        f"{args.out.rstrip('/')}/{folder}",
+        args,
         sort_by=["measuring_point", "date"],
     )
 
@@ -118,12 +151,12 @@ def _energy_curves(spark, inv, args):
         absent=None if args.gaps == "text" else -1.0,
         tz=args.tz,
     )
-    write_csv(
+    _write(
         curve,
         stamped(args.out, args.tz),
+        args,
         header=False,
         mode="overwrite" if args.overwrite else "append",
-        num_files=args.files,
         sort_by=["measuring_point", "day"],
     )
 
@@ -135,7 +168,7 @@ def _energy_before_inspection(spark, inv, args):
     energy = curves.energy_before_inspection(
         read_readings(spark, args.om, "om"), inspections, args.days, args.legacy, args.rollover
     )
-    write_csv(energy, stamped(args.out, args.tz), delimiter=";", num_files=args.files)
+    _write(energy, stamped(args.out, args.tz), args, delimiter=";")
 
 
 def _indirect_extract(spark, inv, args):
@@ -151,12 +184,12 @@ def _indirect_extract(spark, inv, args):
         args.rollover,
     )
     path = args.out if args.overwrite else stamped(args.out, args.tz)
-    write_csv(
+    _write(
         rows,
         path,
+        args,
         delimiter=args.delimiter,
         mode="overwrite" if args.overwrite else "append",
-        num_files=args.files,
     )
 
 

@@ -45,9 +45,11 @@ def write_csv(
     mode: str = "append",
     num_files: int | None = None,
     sort_by: Sequence[str] | None = None,
-) -> None:
-    writer = arrange(df, sort_by, num_files).write.mode(mode)
-    writer.options(header=header, delimiter=delimiter).csv(path)
+) -> int:
+    """The number of rows written, observed after the sort, whose sampling reads the rows a second time."""
+    rows, observed = counted(arrange(df, sort_by, num_files))
+    rows.write.mode(mode).options(header=header, delimiter=delimiter).csv(path)
+    return observed.get["rows"]
 
 
 def write_parquet(
@@ -56,5 +58,7 @@ def write_parquet(
     mode: str = "append",
     num_files: int | None = None,
     sort_by: Sequence[str] | None = None,
-) -> None:
-    arrange(df, sort_by, num_files).write.mode(mode).parquet(path)
+) -> int:
+    rows, observed = counted(arrange(df, sort_by, num_files))
+    rows.write.mode(mode).parquet(path)
+    return observed.get["rows"]

@@ -280,7 +280,13 @@ def single_folder(path):
     return f"{path}/{name}"
 
 
-def test_jobs_write_what_the_queries_return(spark, base, stored, tmp_path):
+def test_tables_are_split_as_asked():
+    found = jobs._splits(["measuring_point=id:1:900:8", "meter=punto_servicio:0:50:2"])
+    assert found["measuring_point"] == {"column": "id", "bounds": (1, 900), "partitions": 8}
+    assert found["meter"] == {"column": "punto_servicio", "bounds": (0, 50), "partitions": 2}
+
+
+def test_jobs_write_what_the_queries_return(spark, base, stored, tmp_path, capsys):
     def expected(name):
         return registry.queries()[name](spark, base)
 
@@ -307,6 +313,18 @@ def test_jobs_write_what_the_queries_return(spark, base, stored, tmp_path):
     got = spark.read.csv(f"{tmp_path}/p/triphasic", header=True)
     assert got.count() == expected("inspections_with_points").count() * 193
 
+    more = ["--days", "1", "--phases", "1", "--format", "parquet"]
+    capsys.readouterr()
+    run_job(spark, stored, "iv-before-inspection", *more, "--files", "2", "--out", f"{tmp_path}/p", tables=("iv",))
+    got = spark.read.parquet(f"{tmp_path}/p/monophasic")
+    assert got.columns == ["measuring_point", "date", "voltage_phase_1", "current_phase_1"]
+    assert got.count() == expected("inspections_with_points").count() * 97
+    assert f"{got.count()} rows written" in capsys.readouterr().out
+
+    run_job(spark, stored, "iv-curves", *epoch, "--snap", "--out", f"{tmp_path}/s", tables=("iv",))
+    got = spark.read.csv(f"{tmp_path}/s/triphasic", header=True)
+    assert got.count() == expected("grid_iv_curve_triphasic").count()
+
     run_job(
         spark, stored, "indirect-extract", *window, "--overwrite", "--delimiter", ",", "--out", f"{tmp_path}/x", tables=("iv", "om")
     )
