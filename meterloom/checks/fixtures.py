@@ -31,6 +31,13 @@ def _calendar_text(days):
     return F.date_format(F.date_add(F.lit(FIRST_DAY).cast("date"), days.cast("int")), "dd/MM/yyyy")
 
 
+def _visited(customers: DataFrame) -> DataFrame:
+    """Inspection dates: one of every customer, and a later one, with an overlapping window, of a third."""
+    last = F.when(F.col("c_custkey") % 3 == 0, F.lit(1)).otherwise(F.lit(0))
+    visits = customers.withColumn("visit", F.explode(F.sequence(F.lit(0), last)))
+    return visits.withColumn("fechai1", _calendar_text(F.col("c_custkey") % 30 + 45 * F.col("visit")))
+
+
 def next_start(df: DataFrame, key: str, time: str, tie: str) -> DataFrame:
     """Adds ``end_date``: the start of the key's next row in (time, tie) order, null for the last.
 
@@ -100,12 +107,13 @@ class Fixtures:
 
     def _iv(self, snapped=True) -> DataFrame:
         update = F.col("last_update_time")
-        tenth = F.when(F.col("event_id") % 10 == 0, F.lit(2)).otherwise(F.lit(1))
+        last = F.col("event_id") % 10
+        interval = F.when(last == 0, F.lit(2)).when(last != 5, F.lit(1))  # some are unknown
         return (
             self._events()
             .withColumn("date", snap(update) if snapped else update)
             .withColumn("magnitude", _coded(IV_CODES))
-            .withColumn("measurement_interval", tenth.cast("bigint"))
+            .withColumn("measurement_interval", interval.cast("bigint"))
             .withColumn(
                 "rowkey",
                 iv_row_key(F.col("measuring_point"), F.col("date"), _digits(F.col("event_id"), 5)),
@@ -305,9 +313,11 @@ class Fixtures:
         )
 
     def _equipment_point_configuration(self):
-        return self._dated_orders().select(
+        lines = self.table("lineitem").groupBy("l_orderkey").agg(F.min("l_partkey").alias("equipment"))
+        orders = self._dated_orders()
+        return orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left").select(
             F.col("o_custkey").alias("measuring_point"),
-            (F.col("o_orderkey") % 200).alias("equipment"),
+            "equipment",
             (F.col("o_orderkey") % 3 + 1).alias("reading_constant"),
             "start_date",
             "end_date",
@@ -353,24 +363,19 @@ class Fixtures:
         )
 
     def _inspected_batch(self):
-        return self.table("customer").select(
+        return _visited(self.table("customer")).select(
             F.col("c_custkey").alias("punto_medida_interno"),
             F.col("c_name").alias("punto_servicio"),
-            _calendar_text(F.col("c_custkey") % 30).alias("fechai1"),
+            "fechai1",
         )
 
     def _inspected_list(self):
         """Points that sent an error event are inspected."""
         errors = self.table("events").filter(F.col("event_type") == "error")
         failing = errors.select("user_id").distinct()
-        return (
-            self.table("customer")
-            .join(failing, F.col("c_custkey") == F.col("user_id"), "left_semi")
-            .select(
-                F.col("c_name").alias("punto_servicio"),
-                _calendar_text(F.col("c_custkey") % 30).alias("fechai1"),
-            )
-        )
+        customers = self.table("customer")
+        chosen = customers.join(failing, F.col("c_custkey") == F.col("user_id"), "left_semi")
+        return _visited(chosen).select(F.col("c_name").alias("punto_servicio"), "fechai1")
 
     def _inspection_history(self):
         k = F.col("k")

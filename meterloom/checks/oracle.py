@@ -20,7 +20,7 @@ _FRAMES = {
     "iv_coded": """
         SELECT *, CAST(CASE event_type WHEN 'view' THEN 13 WHEN 'click' THEN 14 WHEN 'signup' THEN 15
                        WHEN 'purchase' THEN 16 WHEN 'error' THEN 17 END AS BIGINT) AS magnitude,
-               CAST(CASE WHEN event_id % 10 = 0 THEN 2 ELSE 1 END AS BIGINT) AS measurement_interval,
+               CAST(CASE event_id % 10 WHEN 0 THEN 2 WHEN 5 THEN NULL ELSE 1 END AS BIGINT) AS measurement_interval,
                last_update_time // 900000 * 900000 AS date
         FROM ev""",
     "iv_full": """
@@ -72,8 +72,9 @@ _FRAMES = {
                CASE WHEN o_orderstatus <> 'O' THEN o_orderdate + INTERVAL 90 DAY END AS tariff_end
         FROM orders""",
     "equipment_point": """
-        SELECT c.measuring_point, c.id % 200 AS equipment, c.id % 3 + 1 AS reading_constant,
-               c.start_date, c.end_date FROM commercial c""",
+        SELECT c.measuring_point, l.equipment, c.id % 3 + 1 AS reading_constant, c.start_date, c.end_date
+        FROM commercial c LEFT JOIN (SELECT l_orderkey, min(l_partkey) AS equipment FROM lineitem GROUP BY 1) l
+          ON l.l_orderkey = c.id""",
     "indirect": """
         SELECT DISTINCT mp.id FROM measuring_point mp JOIN equipment_point ec
         ON ec.measuring_point = mp.id WHERE ec.reading_constant > 1""",
@@ -116,7 +117,8 @@ _FRAMES = {
     "grouped": "SELECT c_custkey AS id, c_name AS code FROM customer WHERE c_mktsegment = 'BUILDING'",
     "inspected": """
         SELECT c_custkey AS id, c_name AS code,
-               DATE '2024-01-01' + CAST(c_custkey % 30 AS INTEGER) AS inspected_on FROM customer""",
+               DATE '2024-01-01' + CAST(c_custkey % 30 + 45 * visit AS INTEGER) AS inspected_on
+        FROM customer JOIN (SELECT unnest([0, 1]) AS visit) v ON visit = 0 OR c_custkey % 3 = 0""",
     "inspected_failing": """
         SELECT DISTINCT * FROM inspected
         WHERE id IN (SELECT user_id FROM events WHERE event_type = 'error')""",
@@ -128,7 +130,8 @@ _FRAMES = {
     "batches": f"""
         SELECT id AS "PUNTO_MEDIDA_INTERNO", code AS "PUNTO_SERVICIO",
                strftime(inspected_on, '%d/%m/%Y') AS "FECHAI1",
-               CAST(ceil(row_number() OVER (ORDER BY id) / {BATCH_SIZE}) AS BIGINT) AS batch_number
+               CAST(ceil(row_number() OVER (
+                 ORDER BY id, code, strftime(inspected_on, '%d/%m/%Y')) / {BATCH_SIZE}) AS BIGINT) AS batch_number
         FROM inspected""",
     "three_phase": """
         SELECT s.punto_servicio, m.fecha_desde FROM service_point s
@@ -223,7 +226,8 @@ def _energy_before(condition, readings="om_full", time="wrapped_time", reactive=
         JOIN windows i ON i.id = w.measuring_point {condition}"""
 
 
-_LABEL = "CASE WHEN measurement_interval = 1 THEN 'QH' ELSE CAST(measurement_interval AS VARCHAR) END"
+_LABEL = """CASE WHEN measurement_interval = 1 THEN 'QH' WHEN measurement_interval IS NULL THEN 'INSTANTANEO'
+               ELSE CAST(measurement_interval AS VARCHAR) END"""
 
 
 def _extract(kind):
@@ -245,7 +249,7 @@ def _extract(kind):
 
 def _iv_cells(missing, text):
     return f"""
-        SELECT rowkey, magnitude, CASE WHEN event_type = 'error' THEN {missing}
+        SELECT rowkey, magnitude, CASE WHEN event_type = 'error' OR measurement_interval IS NULL THEN {missing}
                ELSE measurement_interval END AS measurement_interval, source, measuring_point,
                CASE WHEN value < 25 THEN CAST({missing} AS DOUBLE) ELSE value END AS value, date,
                last_update_time,

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.timeslots import argument_ms, snap
 from meterloom.plans import curves, extract, inventory
 from meterloom.sinks.files import stamped, write_csv, write_parquet
+from meterloom.sources.cells import read_cells
 from meterloom.sources.tables import read_inventory, read_jdbc_inventory, read_readings
 
 
@@ -24,6 +25,8 @@ def _parser() -> argparse.ArgumentParser:
         sub = jobs.add_parser(name)
         for table in tables:
             sub.add_argument(f"--{table}", required=True, help=f"path of the {table} reading table")
+        sub.add_argument("--cells", action="store_true", help="reading tables hold binary cells")
+        sub.add_argument("--missing", choices=("null", "sentinel"), default="null", help="absent cells")
         sub.add_argument("--inventory", required=True, help="folder of tables, or a jdbc: URL")
         sub.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
         sub.add_argument(
@@ -94,6 +97,13 @@ def _inventory(spark: SparkSession, args):
     return read_inventory(spark, args.inventory)
 
 
+def _readings(spark: SparkSession, args, kind: str) -> DataFrame:
+    path = getattr(args, kind)
+    if args.cells:
+        return read_cells(spark, path, kind, args.missing)
+    return read_readings(spark, path, kind)
+
+
 def _nothing_to_do(points: DataFrame | None) -> bool:
     if points is not None and points.isEmpty():
         print("no points selected, nothing is written")
@@ -109,7 +119,7 @@ def _iv_curves(spark, inv, args):
         points = inventory.points_by_plate(inv)
     if _nothing_to_do(points):
         return
-    readings = read_readings(spark, args.iv, "iv")
+    readings = _readings(spark, args, "iv")
     if args.snap:
         readings = readings.withColumn("date", snap(F.col("date")))
     curve = curves.iv_curves(readings, points, int(args.start), int(args.stop), args.phases)
@@ -127,7 +137,7 @@ def _iv_before_inspection(spark, inv, args):
     if _nothing_to_do(inspections):
         return
     curve = curves.iv_before_inspection(
-        read_readings(spark, args.iv, "iv"), inspections, args.days, args.phases
+        _readings(spark, args, "iv"), inspections, args.days, args.phases
     )
     folder = "triphasic" if args.phases == 3 else "monophasic"
     _write(
@@ -143,7 +153,7 @@ def _energy_curves(spark, inv, args):
     if _nothing_to_do(points):
         return
     curve = curves.energy_curves(
-        read_readings(spark, args.om, "om"),
+        _readings(spark, args, "om"),
         points,
         argument_ms(args.start, args.tz),
         argument_ms(args.stop, args.tz),
@@ -166,7 +176,7 @@ def _energy_before_inspection(spark, inv, args):
     if _nothing_to_do(inspections):
         return
     energy = curves.energy_before_inspection(
-        read_readings(spark, args.om, "om"), inspections, args.days, args.legacy, args.rollover
+        _readings(spark, args, "om"), inspections, args.days, args.legacy, args.rollover
     )
     _write(energy, stamped(args.out, args.tz), args, delimiter=";")
 
@@ -175,8 +185,8 @@ def _indirect_extract(spark, inv, args):
     if _nothing_to_do(inventory.indirect_points(inv)):
         return
     rows = extract.indirect_extract(
-        read_readings(spark, args.iv, "iv"),
-        read_readings(spark, args.om, "om"),
+        _readings(spark, args, "iv"),
+        _readings(spark, args, "om"),
         inv,
         argument_ms(args.start, args.tz),
         argument_ms(args.stop, args.tz),

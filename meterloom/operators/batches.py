@@ -5,24 +5,28 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import whole
 
-RANGES = 256
+RANGE_ROWS = 1_000_000
 
 
 def batch_numbers(
-    df: DataFrame, order_by: str, size: int, batch: int | None = None, ranges: int = RANGES
+    df: DataFrame, order_by: str, size: int, batch: int | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Number rows by ``order_by`` (then all other columns) and cut them into batches of ``size``.
 
     Adds ``batch_number``, from 1; with ``batch`` only that batch is produced.  A global row
     number would run in one task, so equal rows are first collapsed to a count, the order column
     is cut into ranges, rows are numbered inside their range, and the totals of earlier ranges
-    (at most ``ranges + 1`` rows) are added.
+    are added.  There are as many ranges as keep about ``RANGE_ROWS`` rows in each.
     """
+    if ranges is None:
+        ranges = df.count() // RANGE_ROWS + 1
     columns = df.columns
     numeric = F.col(order_by).cast("double")
-    cuts = df.select(numeric.alias("key")).approxQuantile(
-        "key", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
-    )
+    cuts = []
+    if ranges > 1:
+        cuts = df.select(numeric.alias("key")).approxQuantile(
+            "key", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
+        )
     edges = F.array(*[F.lit(edge) for edge in sorted(set(cuts))]) if cuts else None
     range_of = F.size(F.filter(edges, lambda edge: edge < numeric)) if cuts else F.lit(0)
 

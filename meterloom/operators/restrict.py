@@ -86,16 +86,20 @@ def outer_window(windows: DataFrame) -> tuple[int, int]:
 
 
 def own_window(
-    readings: DataFrame, windows: DataFrame, time: str = "date", max_rows: int = BROADCAST_ROWS
+    readings: DataFrame,
+    windows: DataFrame,
+    time: str = "date",
+    max_rows: int = BROADCAST_ROWS,
+    outer: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Readings inside a window of their own point, both ends inclusive.
 
     ``time`` is ``date`` for instantaneous readings; for energy readings (``day``) bounds and
     time are compared in whole hours.  The outermost bounds are also a plain range on the stored
-    column, which the scan can skip on.
+    column, which the scan can skip on; ``outer`` is :func:`outer_window` where that is known.
     """
     unit = HOUR_MS if time == "day" else 1
-    earliest, latest = outer_window(windows)
+    earliest, latest = outer or outer_window(windows)
     spans = Spans(
         windows,
         "point",

@@ -186,7 +186,8 @@ def energy_before_inspection(
         & F.col("magnitude").isin(*names)
         & (F.col("source") == source)
     )
-    kept = own_window(measured, windows, "day", max_rows)
+    outer = outer_window(windows)
+    kept = own_window(measured, windows, "day", max_rows, outer)
     timed = kept.select(
         "measuring_point",
         slot_timestamp(F.col("day"), F.col("period"), rollover).alias("date"),
@@ -199,7 +200,7 @@ def energy_before_inspection(
         joined = bounded_join(wide, codes, ["measuring_point"], "inner", max_rows)
     else:
         day_end = DAY_MS if rollover else DAY_MS - 1
-        earliest, latest = outer_window(windows)
+        earliest, latest = outer
         spans = Spans(
             windows.select("point", "code", "window_start", "window_stop"),
             "point",

@@ -25,8 +25,10 @@ THREE_PHASE = "TRIFASICO"
 
 def _points_in_group(inv: Inventory, group: str) -> DataFrame:
     chosen = inv["measuring_point_group"].filter(F.col("code") == group)
-    members = inv["measuring_point_groupmpoint"].join(
-        chosen.select(F.col("id").alias("measuring_point_group")), "measuring_point_group"
+    members = bounded_join(
+        inv["measuring_point_groupmpoint"],
+        chosen.select(F.col("id").alias("measuring_point_group")),
+        ["measuring_point_group"],
     )
     points = inv["measuring_point"].select("id", "code")
     return points.join(members, points["id"] == members["measuring_point"])

@@ -31,8 +31,11 @@ def arrange(df: DataFrame, sort_by: Sequence[str] | None, num_files: int | None)
     return df if num_files is None else df.repartition(num_files)
 
 
-def counted(df: DataFrame, name: str = "rows") -> tuple[DataFrame, Observation]:
-    """The frame and an observation of its row count, filled by the write that consumes it."""
+def counted(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observation]:
+    """The frame and an observation of its row count, filled by the write that consumes it.
+
+    Without a name the observation gets one of its own, so that a counted frame may be counted again.
+    """
     observation = Observation(name)
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 

@@ -4,7 +4,7 @@ A store row arrives either wide (one binary column per cell name, no shuffle nee
 (``rowkey, qualifier, value``), which :func:`gather_cells` turns into the wide form.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,14 +48,16 @@ def gather_cells(cells: DataFrame, kind: str) -> DataFrame:
     """One row per key with a binary column per cell name.
 
     Partial aggregation keeps one value per cell before the exchange, so a key with very many
-    stored cells does not grow its task.
+    stored cells does not grow its task.  Of several versions of a cell the newest counts, by a
+    ``version`` column where there is one.
     """
-    return cells.groupBy("rowkey").agg(
-        *[
-            F.max(F.when(F.col("qualifier") == name, F.col("value"))).alias(name)
-            for name in QUALIFIERS[kind].values()
-        ]
-    )
+    order = ["version"] if "version" in cells.columns else []
+
+    def newest(name):
+        held = F.when(F.col("qualifier") == name, F.struct(*order, "value"))
+        return F.max(held)["value"].alias(name)
+
+    return cells.groupBy("rowkey").agg(*[newest(name) for name in QUALIFIERS[kind].values()])
 
 
 def decode_cells(
@@ -95,6 +97,13 @@ def decode_cells(
     return rows.select(*picked)
 
 
+def read_cells(spark: SparkSession, path: str, kind: str, missing: str = "null") -> DataFrame:
+    """Readings from a Parquet table of cells, wide or long; only instantaneous records may lack some."""
+    cells = spark.read.parquet(path)
+    rows = gather_cells(cells, kind) if "qualifier" in cells.columns else cells
+    return decode_cells(rows, kind, strict=kind != "iv", missing=missing)
+
+
 def decode_om(rows: DataFrame) -> DataFrame:
     return decode_cells(rows, "om", strict=True)
 

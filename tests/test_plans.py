@@ -14,6 +14,7 @@ from meterloom.operators.restrict import points_window
 from meterloom.plans import curves, extract, inventory
 from meterloom.schemas import CELLS, EVENT, IV, OM
 from meterloom.sinks.files import counted, run_stamp, stamped, write_csv, write_parquet
+from meterloom.sources.cells import gather_cells
 from meterloom.sources.tables import INVENTORY_TABLES, jdbc_options, read_inventory, read_readings
 from tests.conftest import rows
 
@@ -200,9 +201,25 @@ def test_restrictions_reach_the_scan(spark, energy, tmp_path, capsys):
     assert "validation_result" not in text and "last_update_time" not in text
 
 
+def test_chosen_group_is_no_shuffle_key(spark, base, capsys):
+    text = plan(inventory.points_by_group(Fixtures(spark, base), registry.GROUP), capsys)
+    assert "hashpartitioning(measuring_point_group" not in text
+
+
 # sources, files, command line
 
 
+def test_newest_version_of_a_cell_counts(spark):
+    cells = [("k", "V", bytearray(b"\x09"), 1), ("k", "V", bytearray(b"\x01"), 2), ("k", "M", bytearray(b"\x05"), 1)]
+    found = gather_cells(spark.createDataFrame(cells, "rowkey string, qualifier string, value binary, version bigint"), "iv")
+    assert [(bytes(r["V"]), bytes(r["M"]), r["S"]) for r in found.collect()] == [(b"\x01", b"\x05", None)]
+
+
+def test_legacy_inspections_differ(spark, base):
+    counts = [registry.queries()[n](spark, base).count() for n in ("energy_before_inspection", "energy_before_inspection_legacy")]
+    assert 0 < counts[0] < counts[1]
+
+
 def test_window_restriction_equals_the_key_range(spark, base):
     f = Fixtures(spark, base)
     some = f["measuring_point"].filter("id % 2 = 0").select(F.col("id").alias("ID"))
@@ -297,6 +314,11 @@ def test_jobs_write_what_the_queries_return(spark, base, stored, tmp_path, capsy
     want = expected("grid_energy_curve").orderBy("measuring_point", "day").collect()
     assert lines == [",".join("" if v is None else str(v) for v in row) for row in want]
 
+    Fixtures(spark, base).cells("om").write.parquet(f"{tmp_path}/cells")
+    more = ["--cells", "--om", f"{tmp_path}/cells", "--inventory", f"{stored}/inventory", "--out", f"{tmp_path}/c"]
+    jobs.main(["energy-curves", *window, "--group", registry.GROUP, *more], spark)
+    assert [line for part in csv_lines(single_folder(f"{tmp_path}/c")) for line in part] == lines
+
     run_job(spark, stored, "iv-curves", *epoch, "--files", "2", "--out", f"{tmp_path}/i", tables=("iv",))
     got = spark.read.csv(f"{tmp_path}/i/triphasic", header=True)
     want = expected("grid_iv_curve_triphasic")
