@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.timeslots import whole
 
 RANGE_ROWS = 1_000_000
+FEWEST_RANGES = 8
 
 
 def batch_numbers(
@@ -19,14 +20,12 @@ def batch_numbers(
     are added.  There are as many ranges as keep about ``RANGE_ROWS`` rows in each.
     """
     if ranges is None:
-        ranges = df.count() // RANGE_ROWS + 1
+        ranges = FEWEST_RANGES + df.count() // RANGE_ROWS
     columns = df.columns
     numeric = F.col(order_by).cast("double")
-    cuts = []
-    if ranges > 1:
-        cuts = df.select(numeric.alias("key")).approxQuantile(
-            "key", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
-        )
+    cuts = df.select(numeric.alias("key")).approxQuantile(
+        "key", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
+    )
     edges = F.array(*[F.lit(edge) for edge in sorted(set(cuts))]) if cuts else None
     range_of = F.size(F.filter(edges, lambda edge: edge < numeric)) if cuts else F.lit(0)
 
