@@ -402,6 +402,9 @@ _QUERIES = {
                magnitude AS event_type FROM iv_full""",
 }
 
+_QUERIES["interval_join_equipment_shuffled"] = _QUERIES["interval_join_equipment"]
+_QUERIES["restrict_points_window_shuffled"] = _QUERIES["restrict_points_window_iv"]
+
 
 def _frames_for(text, chosen):
     for name, body in _FRAMES.items():
