@@ -2,10 +2,11 @@
 
 Grades 0 < 1 < ... are told apart by ordered thresholds on one score: P(grade > j) = sigmoid(w.x - t_j),
 with the same weights for all thresholds. x has a one for each distinct hashed word of a text (lower
-case, without ASCII punctuation around it). Weights are fitted by AdaGrad in numpy on a bounded sample of labelled
-rows, PER_GRADE for each grade, whose features are made by tasks. Only words have a weight whose shares of
-grade 0 and of the higher grades differ by Z standard errors, and that SUPPORT of a side has. The expected severity is the sum of P(grade > j). The cut that calls a
-document toxic is the one of best F1 on a quarter of the sample that is kept from fitting.
+case, without ASCII punctuation around it) and each prefix of its words, PREFIX code points long, so that the
+forms of a word count together; what occurs twice or more has another one. Weights are fitted by AdaGrad in numpy on a bounded sample of labelled
+rows, PER_GRADE for each grade, whose features are made by tasks. Only words and prefixes have a weight whose
+counts in grade 0 and in the higher grades differ by a likelihood ratio of Z standard errors; how rare they are doesn't matter. The expected severity is the sum of
+P(grade > j). The cut that calls a document toxic is the one of best F1 on a quarter of the sample that is kept from fitting.
 
 Edge cases: null and empty texts have no word and get severity 0 and grade 0. Documents without label are scored but
 not learned from. With no labelled row, or one grade only, everything has severity 0. Rows that repeat an id
@@ -24,10 +25,13 @@ from pyspark.sql import functions as F
 from meterloom.llm.common import Words, buffers, checked_broadcast, chunks, columns, lower_ascii, text_bytes
 from meterloom.llm.sampling import bounded_sample
 
-BUCKETS = 1 << 20
+#: Least and most code points of the prefixes that are features.
+PREFIX = (4, 8)
+#: Slots of the table that rules most codes out before they are compared.
+FILTER = 1 << 20
+TWICE = 1 << 31
 #: Bound of the labelled rows of each grade that are learned from.
 PER_GRADE = 2000
-SUPPORT = 0.05
 Z = 5.0
 EPOCHS = 8
 RATE = 0.3
@@ -37,8 +41,10 @@ _LETTER = np.zeros(256, bool)
 _LETTER[[*range(97, 123), *range(128, 256)]] = True
 
 
-def word_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of each distinct word of each text, ordered by text."""
+def features(texts: pa.Array, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, code) of each distinct word and prefix of each text, ordered by text, and whether a text has a word.
+
+    Codes have 31 bits, and TWICE marks a second code of what occurs again; only those in wanted, if given (sorted)."""
     data, offsets = buffers(text_bytes(texts))
     low = lower_ascii(data)
     words = Words(low, offsets)
@@ -48,25 +54,49 @@ def word_buckets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     has = letter[words.end] > letter[words.start]
     start = place[letter[words.start[has]]]
     end = place[letter[words.end[has]] - 1] + 1
-    doc = words.doc[has]
-    power = np.cumprod(np.full(256, 0x100000001B3, np.uint64))
-    code = np.zeros(len(start), np.uint64)
+    doc = words.doc[has].astype(np.int64)
+    known = np.bincount(doc, minlength=len(offsets) - 1) > 0
+    maybe = None
+    if wanted is not None:
+        maybe = np.zeros(FILTER, bool)
+        maybe[(wanted & ~TWICE) % FILTER] = True
+    prime = np.uint64(0x100000001B3)
+    code, points = np.zeros(len(start), np.uint64), np.zeros(len(start), np.int16)
     longest = int((end - start).max()) if len(start) else 0
-    live = np.arange(len(start))
+    live, found = np.arange(len(start)), [np.zeros(0, np.int64)]
+
+    def take(at: np.ndarray, factor: int) -> None:
+        codes = (code[at] * np.uint64(factor) >> np.uint64(33)).astype(np.int64)
+        if maybe is not None:
+            hit = maybe[codes % FILTER]
+            at, codes = at[hit], codes[hit]
+        found.append(doc[at] << 32 | codes)
+
     for k in range(longest):
         live = live[end[live] - start[live] > k]
-        code[live] = (code[live] ^ low[start[live] + k]) * power[0] + np.uint64(k)
-    bucket = (code * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(44)).astype(np.int64)
-    pairs = np.unique(doc.astype(np.int64) * BUCKETS + bucket)
-    return pairs // BUCKETS, pairs % BUCKETS
+        byte = low[start[live] + k]
+        points[live] += (byte & 0xC0) != 0x80
+        code[live] = (code[live] ^ byte) * prime + np.uint64(k)
+        # a code point ends where the next byte begins another
+        after = low[np.minimum(start[live] + k + 1, end[live] - 1)]
+        whole = (end[live] - start[live] == k + 1) | ((after & 0xC0) != 0x80)
+        take(live[whole & (points[live] >= PREFIX[0]) & (points[live] <= PREFIX[1])], 0xD6E8FEB86659FD93)
+    take(np.arange(len(start)), 0x9E3779B97F4A7C15)
+    pairs, times = np.unique(np.concatenate(found), return_counts=True)
+    pairs = np.sort(np.concatenate([pairs, pairs[times > 1] | TWICE]))
+    doc, codes = pairs >> 32, pairs & 0xFFFFFFFF
+    if wanted is not None:
+        hit = np.isin(codes, wanted)
+        doc, codes = doc[hit], codes[hit]
+    return doc, codes, known
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
-        doc, bucket = word_buckets(batch.column("text"))
+    for batch in chunks(batches, limit=1 << 20):
+        doc, code, _ = features(batch.column("text"))
         edge = np.searchsorted(doc, np.arange(batch.num_rows + 1))
-        rows = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(bucket, pa.int32()))
-        yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "grade": batch.column("grade").cast(pa.int32()), "buckets": rows})
+        rows = pa.ListArray.from_arrays(pa.array(edge, pa.int32()), pa.array(code.astype(np.uint32).view(np.int32)))
+        yield pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64()), "grade": batch.column("grade").cast(pa.int32()), "codes": rows})
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -74,13 +104,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def telling(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """Which buckets tell the two sides apart."""
-    counts = [np.bincount(np.concatenate([*(r for r, y in zip(rows, toxic, strict=True) if y == side), np.zeros(0, np.int64)]), minlength=BUCKETS) for side in (False, True)]
-    sizes = [max(1, int((toxic == side).sum())) for side in (False, True)]
-    shares = [c / n for c, n in zip(counts, sizes, strict=True)]
-    mean = (counts[0] + counts[1]) / sum(sizes)
-    error = np.sqrt(mean * (1 - mean) * (1 / sizes[0] + 1 / sizes[1])) + 1e-12
-    return (np.abs(shares[1] - shares[0]) >= Z * error) & (np.maximum(*shares) >= SUPPORT)
+    """The codes that tell the two sides apart, sorted: the root of the likelihood ratio of their counts is Z or more.
+
+    Unlike the difference in standard errors it holds for counts of a few texts too, so that rare words need no floor but that."""
+    sizes = [int((toxic == side).sum()) for side in (False, True)]
+    codes, place = np.unique(np.concatenate([*rows, np.zeros(0, np.int64)]), return_inverse=True)
+    side = np.repeat(toxic, [len(r) for r in rows]).astype(bool)
+    counts = [np.bincount(place[side == s], minlength=len(codes)) for s in (False, True)]
+    mean = (counts[0] + counts[1]) / max(1, sum(sizes))
+    ratio = np.zeros(len(codes))
+    for c, n in zip(counts, sizes, strict=True):
+        for seen, of in ((c, mean), (n - c, 1 - mean)):
+            ratio += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, np.maximum(n * of, 1e-12), 1))
+    return codes[ratio >= Z * Z]
 
 
 def train(rows: list[np.ndarray], grades: np.ndarray, n_features: int, n_grades: int, seed: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -120,42 +156,43 @@ def best_cut(severity: np.ndarray, toxic: np.ndarray) -> float:
     order = np.argsort(-severity, kind="stable")
     hits = np.cumsum(toxic[order])
     f1 = 2 * hits / (np.arange(1, len(order) + 1) + toxic.sum())
+    # equal severities can't be parted
+    f1[:-1][severity[order][:-1] == severity[order][1:]] = 0
     k = len(f1) - 1 - int(np.argmax(f1[::-1]))
     below = severity[order][k + 1] if k + 1 < len(order) else 0.0
     return float((severity[order][k] + below) / 2)
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> tuple[np.ndarray, np.ndarray, float]:
-    """(weight of each bucket, thresholds, cut); labels: doc_id, grade."""
+def fit(docs: DataFrame, labels: DataFrame, per_grade: int = PER_GRADE) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
+    """(telling codes, sorted; their weights; thresholds; cut); labels: doc_id, grade."""
     graded = labels.filter(F.col("grade").isNotNull() & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("id")).agg(F.max("grade").cast("int").alias("grade"))
     chosen = checked_broadcast(bounded_sample(graded, "grade", "id", per_grade))
-    found = docs.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "grade", "text").mapInArrow(_features, "doc_id long, grade int, buckets array<int>").toArrow()
+    found = docs.join(chosen, F.col("doc_id") == F.col("id")).select("doc_id", "grade", "text").mapInArrow(_features, "doc_id long, grade int, codes array<int>").toArrow()
     found = found.take(pa.array(np.argsort(found.column("doc_id").to_numpy(zero_copy_only=False), kind="stable")))
     grades = found.column("grade").to_numpy(zero_copy_only=False).astype(np.int64)
-    table = np.zeros(BUCKETS, np.float32)
     if len(np.unique(grades)) < 2:
-        return table, np.zeros(0), 0.5
-    rows = [np.array(x.values, np.int64) for x in found.column("buckets")]
+        return np.zeros(0, np.int64), np.zeros(0), np.zeros(0), 0.5
+    return learn([x.values.to_numpy().view(np.uint32).astype(np.int64) for x in found.column("codes")], grades)
+
+
+def learn(rows: list[np.ndarray], grades: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, float]:
     held = np.arange(len(rows)) % 4 == 3
     if len(np.unique(grades[~held])) < 2:
         held[:] = False
-    often = telling([r for r, h in zip(rows, held, strict=True) if not h], grades[~held] > 0)
-    number = np.cumsum(often) - 1
-    rows = [number[r[often[r]]] for r in rows]
-    weights, cuts = train([r for r, h in zip(rows, held, strict=True) if not h], grades[~held], int(often.sum()), int(grades.max()) + 1)
-    table[often] = weights
+    codes = telling([r for r, h in zip(rows, held, strict=True) if not h], grades[~held] > 0)
+    rows = [np.searchsorted(codes, r[np.isin(r, codes)]) for r in rows]
+    weights, cuts = train([r for r, h in zip(rows, held, strict=True) if not h], grades[~held], len(codes), int(grades.max()) + 1)
     judged = held if grades[held].any() else np.ones(len(rows), bool)
     severity = np.array([sigmoid(weights[r].sum() - cuts).sum() for r, h in zip(rows, judged, strict=True) if h])
-    return table, cuts, best_cut(severity, grades[judged] > 0)
+    return codes, weights, cuts, best_cut(severity, grades[judged] > 0)
 
 
 def _scored(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, cuts, cut = shared.value
+        codes, weights, cuts, cut = shared.value
         for batch in chunks(batches):
-            doc, bucket = word_buckets(batch.column("text"))
-            total = np.bincount(doc, table[bucket], batch.num_rows)
-            known = np.bincount(doc, minlength=batch.num_rows) > 0
+            doc, code, known = features(batch.column("text"), codes)
+            total = np.bincount(doc, weights[np.searchsorted(codes, code)], batch.num_rows)
             over = sigmoid(total[:, None] - cuts[None, :]) * known[:, None]
             severity = over.sum(axis=1)
             yield pa.record_batch(

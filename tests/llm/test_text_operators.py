@@ -334,6 +334,28 @@ def test_toxicity(spark):
     assert {r.severity for r in nothing} == {0.0}
 
 
+def test_toxicity_finds_rare_forms():
+    """Each toxic text has two of 300 forms of a stem, so that no word is in 5 % of either side."""
+    rng = np.random.default_rng(3)
+    rows, grades = [], np.arange(1200) % 4 // 3
+    for grade in grades:
+        words = [f"w{i}" for i in rng.integers(0, 2000, 60)]
+        words[7:7] = [f"vilé{i}" for i in rng.integers(0, 300, 2 if grade else int(rng.random() < 0.02))]
+        rows.append(" ".join(words))
+    texts = pa.array(rows)
+    doc, code, known = toxicity.features(texts)
+    edges = np.searchsorted(doc, np.arange(len(rows) + 1))
+    codes, weights, cuts, cut = toxicity.learn([code[a:b] for a, b in zip(edges[:900], edges[1:901], strict=True)], grades[:900])
+    doc, code, _ = toxicity.features(texts, codes)
+    score = np.bincount(doc, weights[np.searchsorted(codes, code)], len(rows))
+    toxic = (toxicity.sigmoid(score[:, None] - cuts).sum(axis=1) >= cut)[900:]
+    assert known.all() and (toxic == (grades[900:] > 0)).mean() > 0.97
+
+
+def test_best_cut_keeps_equal_severities_together():
+    assert toxicity.best_cut(np.array([0.9, 0.1, 0.1, 0.1, 0.1]), np.array([True, True, False, False, False])) == 0.5
+
+
 def removed(texts, length=200):
     rows = [(t or "").encode() for t in texts]
     times = Counter(r[i : i + length] for r in rows for i in range(len(r) - length + 1))
