@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meterloom.llm import bpe, exact_dedup, mixing, quality_rules, simhash_dedup
+from meterloom.llm import bpe, exact_dedup, mixing, near_copies, quality_rules
 from meterloom.llm.common import stored
 
 
@@ -26,7 +26,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_dedup.keep_one(docs, stored(simhash_dedup.simhash_dedup(docs), "pipeline-near"))
+    """Of documents linked by a Jaccard similarity of 0.8 or more of their five-word shingles, one stays."""
+    return near_copies.keep_one(docs, shingle=5, similarity=0.8)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

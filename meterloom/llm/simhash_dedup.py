@@ -206,13 +206,17 @@ def _pairs(out: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.record_batch({"x": pa.array(found[:, 0]), "y": pa.array(found[:, 1])})
 
 
+def links(marked: DataFrame, radius: int = RADIUS, key_rows: int = KEY_ROWS) -> DataFrame:
+    """(x, y): fingerprints within the radius, enough of them to connect what all of them connect; marked: fp."""
+    nodes = marked.select("fp").distinct().mapInArrow(_tables, "fp long, far binary")
+    rows = keyed(nodes, radius, key_rows)
+    return rows.repartition(parts(rows), "mask", "part").sortWithinPartitions("mask", "part").mapInArrow(_links(radius), "x long, y long")
+
+
 def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, seed: int = SEED, key_rows: int = KEY_ROWS) -> DataFrame:
     """A row per document: doc_id, fingerprint (hex), component_id."""
     marked = stored(columns(docs, "doc_id", "text").mapInArrow(_fingerprinted(shingle, seed), "doc_id long, fp long"), "simhash")
-    nodes = marked.select("fp").distinct().mapInArrow(_tables, "fp long, far binary")
-    rows = keyed(nodes, radius, key_rows)
-    links = rows.repartition(parts(rows), "mask", "part").sortWithinPartitions("mask", "part").mapInArrow(_links(radius), "x long, y long")
-    roots = components(links)
+    roots = components(links(marked, radius, key_rows))
     labels = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, F.col("fp") == F.col("node"), "left")
     labels = labels.select("fp", F.coalesce("root", "fp").alias("root"), "least")
     named = labels.groupBy("root").agg(F.min("least").alias("component_id")).select(F.col("root").alias("r"), "component_id")

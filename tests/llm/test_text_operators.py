@@ -14,7 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from meterloom.llm import bpe, exact_dedup, language_id, lm_scoring, mixing, quality_rules, queries, simhash_dedup, substring_dedup, token_files, toxicity
+from meterloom.llm import bpe, exact_dedup, language_id, lm_scoring, mixing, near_copies, quality_rules, queries, simhash_dedup, substring_dedup, token_files, toxicity
 from meterloom.llm.common import Words, buffers, scratch, text_bytes
 from meterloom.llm.components import components
 
@@ -261,6 +261,48 @@ def test_simhash_loses_no_link_when_keys_are_lengthened(spark):
     assert [prints.index(roots.get(p, p)) for p in prints] == linked(prints)
 
 
+def shingles_of(text, k=5):
+    words = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {tuple(words[i : i + k]) for i in range(max(1, len(words) - k + 1))} if words else set()
+
+
+def test_near_stage_links_by_jaccard(spark, monkeypatch):
+    """Texts with a few edits, some beyond the SimHash radius; a passage that many share; the same row by row as all pairs."""
+    rng = np.random.default_rng(4)
+    base = [[f"w{j}" for j in rng.integers(0, 3000, int(rng.integers(6, 90)))] for _ in range(25)]
+    passage = [f"p{j}" for j in range(30)]
+    rows = [(None, None), (1, None), (2, ""), (3, "a b"), (4, "A  b"), (None, "a b")]
+    for i in range(260):
+        words = list(base[i % len(base)])
+        for _ in range(int(rng.integers(0, 4))):
+            words[int(rng.integers(len(words)))] = f"e{rng.integers(1000)}"
+        if i % 3 == 0:
+            words = passage + words
+        rows.append((10 + i // 2 * 2 if i % 40 < 2 else 10 + i, " ".join(words)))
+    sets, root = [shingles_of(t) for _, t in rows], list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    apart = 0
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * len(sets[i] | sets[j]):
+                apart += (fingerprint(rows[i][1]) ^ fingerprint(rows[j][1])).bit_count() > 4
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    groups = {}
+    for i, (d, t) in enumerate(rows):
+        groups.setdefault(find(i), []).append((d is None, d or 0))
+    want = sorted(min(g) for g in groups.values())
+    assert apart > 20
+    monkeypatch.setattr(near_copies, "SAMPLE", 1)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted((d is None, d or 0) for d, _ in corpus_pipeline.near(spark, frame, "").collect()) == want
+
+
 def test_components_of_a_long_chain(spark):
     edges = spark.range(200).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r.root for r in components(edges).collect()} == {0}
