@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows that the one before kept; all but the last
 return the columns of documents. run() writes each stage's result as Parquet to the shared folder and reads it again.
 Nulls, empty texts and repeated rows are handled as the operators say: null and empty texts fail the
-rules; rows without an id are kept by the dedup stages when no row with an id stands for their group.
+rules; the dedup stages keep one row of each group, one without an id only when none of the group has one.
 """
 
 from __future__ import annotations

@@ -230,10 +230,18 @@ def exact_dedup(docs: DataFrame, bucket_bytes: int = BUCKET_BYTES, owner_bytes:
 
 
 def keep_first(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns."""
-    verdict = verdict.filter("kept").select(F.col("doc_id").alias("__kept"), "repeats")
-    kept = docs.join(verdict.select("__kept"), docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "text"]) if not verdict.filter("repeats > 1").isEmpty() else kept
+    """The documents that stay, with all their columns: one of each group, also where ids are null or repeated."""
+    heads = verdict.filter("kept").select(F.col("doc_id").alias("__kept"), F.col("text_sha256").alias("__head"))
+    if verdict.groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return docs.join(heads, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
+    body = F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]", "")
+    named = docs.withColumn("__sha", F.sha2(body, 256))
+    same = (F.col("__sha") == F.col("__head")) & named["doc_id"].eqNullSafe(F.col("__kept"))
+    rows = stored(named.join(heads, same, "left_semi").withColumn("__row", F.monotonically_increasing_id()), "dedup-kept")
+    points = F.length(F.coalesce("text", F.lit("")))
+    first = rows.groupBy("doc_id", "__sha").agg(F.min(F.struct((-points).alias("less"), F.col("__row").alias("row"))).alias("first"))
+    kept = rows.join(first.select(F.col("first.row").alias("__first")), F.col("__row") == F.col("__first"), "left_semi")
+    return kept.select(*(f"`{c}`" for c in docs.columns))
 
 
 def op1_exact_dedup(spark, sf_dir) -> DataFrame:

@@ -225,11 +225,5 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one(docs: DataFrame, verdict: DataFrame) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; the rest goes, but for documents without id in a component that has no id."""
-    heads = verdict.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(heads, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi")
-
-
 def op6_simhash_dedup(spark, sf_dir) -> DataFrame:
     return simhash_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet"))

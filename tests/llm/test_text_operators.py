@@ -73,6 +73,14 @@ def test_exact_dedup_keeps_columns(docs):
     assert kept.count() == len({squeezed(t) for t in TEXTS})
 
 
+def test_dedup_stages_keep_one_row_of_each_group(spark):
+    long = " ".join(f"v{i}" for i in range(40))
+    rows = [(None, "only here"), (None, "only  here"), (None, "a copy"), (5, "a copy"), (7, "x y"), (7, "kept elsewhere"), (3, "kept elsewhere"), (9, long), (None, long + " ")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    kept = table(exact_dedup.keep_first(frame, exact_dedup.exact_dedup(frame)), "doc_id", "text")
+    assert kept == sorted([(None, "only  here"), (5, "a copy"), (7, "x y"), (3, "kept elsewhere"), (None, long + " ")], key=repr)
+
+
 def test_colliding_keys_are_told_apart_by_bytes(monkeypatch):
     directory = exact_dedup.Directory([(0, 0, 10)], 100)
     batch = pa.record_batch({"key": [5, 5, 5], "body": [b"x", b"y", b"x"], "n_points": [1, 1, 2], "doc_id": [3, 4, 9], "copies": [1, 2, 3]})
