@@ -4,7 +4,8 @@ Every document gets its counts and the soft rules that it breaks. Failures are a
 source of a document here), one partial sum a task. A host's failure rate is shrunk towards all hosts':
 rates are taken as draws of a beta distribution whose two parameters come from their weighted mean and
 variance, so that a host of few documents is judged by the others'. A host is strict when its shrunk
-rate exceeds `strict_rate`. A document goes if it fails the base rules, if it breaks a soft rule and
+rate exceeds `strict_rate`, or stands out from the prior: above its mean by two of its standard
+deviations, and twice the mean. Failures of base rules count in the rates too. A document goes if it fails the base rules, if it breaks a soft rule and
 its host is strict, or if it breaks one by the factor `gross` on any host: a good document stays on
 any host, as none goes for the host's sake alone.
 
@@ -88,13 +89,15 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def breaks(limits: dict[str, float], factor: float, where: str = "") -> Column:
-    """Whether a soft rule is broken by more than the factor; where: what precedes the counts' names."""
+    """Whether a soft rule is broken by more than the factor; where: what precedes the counts' names.
+
+    As each word has a code point, the factor divides what the least length has above one."""
     n = {c: F.col(where + c) for c in COUNTS}
     words = n["n_words"].cast("double")
     return (
         (n["n_symbols"] > limits["symbols"] * factor * words)
         | (n["n_dup_lines"] > F.least(F.lit(limits["dup_lines"] * factor), F.lit(0.9)) * n["n_lines"])
-        | (n["word_chars"] * factor < limits["short"] * words)
+        | (n["word_chars"] < (1 + (limits["short"] - 1) / factor) * words)
         | (n["word_chars"] > limits["long"] * factor * words)
     )
 
@@ -121,7 +124,9 @@ def host_verdicts(flagged: DataFrame, strict_rate: float) -> DataFrame:
     weight = F.when(F.col("h") < 2, 1.0).when(between <= spread * 1e-4, 1e4).otherwise(F.greatest(spread / between - 1, F.lit(1.0)))
     prior = moments.select(mean.alias("m"), F.coalesce(weight, F.lit(1.0)).alias("k")).first()
     shrunk = (F.col("n_failed") + F.lit(prior["m"] * prior["k"])) / (F.col("n_docs") + F.lit(prior["k"]))
-    return hosts.select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > strict_rate).alias("strict"))
+    m, k = prior["m"], prior["k"]
+    limit = min(strict_rate, max(m + 2 * (m * (1 - m) / (k + 1)) ** 0.5, 2 * m))
+    return hosts.select("host", "n_docs", "n_failed", shrunk.alias("shrunk_rate"), (shrunk > limit).alias("strict"))
 
 
 def quality_rules(docs: DataFrame, host: str = "source", limits: dict[str, float] = SOFT, strict_rate: float = STRICT_RATE, gross: float = GROSS) -> DataFrame:
@@ -130,7 +135,7 @@ def quality_rules(docs: DataFrame, host: str = "source", limits: dict[str, float
     schema = "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS)
     counted = stored(narrow.mapInArrow(_counted, schema), "quality-counts")
     flagged = counted.withColumn("fails", breaks(limits, 1.0)).withColumn("gross", breaks(limits, gross))
-    strict = host_verdicts(flagged, strict_rate).filter("strict").select(F.col("host").alias("h"), "strict")
+    strict = host_verdicts(flagged.select("host", (F.col("fails") | base_fails()).alias("fails")), strict_rate).filter("strict").select(F.col("host").alias("h"), "strict")
     joined = flagged.join(checked_broadcast(strict, "h"), F.col("host").eqNullSafe(F.col("h")), "left")
     base = base_fails()
     host_strict = F.coalesce("strict", F.lit(False))
@@ -147,7 +152,7 @@ def keep_passing(docs: DataFrame, host: str = "source") -> DataFrame:
 
     narrow = docs.select("doc_id", "text", F.col(f"`{host}`").cast("string").alias("host"))
     schema = "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS)
-    counted = narrow.mapInArrow(_counted, schema).withColumn("fails", breaks(SOFT, 1.0)).select("host", "fails")
+    counted = narrow.mapInArrow(_counted, schema).withColumn("fails", breaks(SOFT, 1.0) | base_fails()).select("host", "fails")
     strict = host_verdicts(stored(counted, "quality-fails"), STRICT_RATE).filter("strict").select(F.col("host").alias("__host"), "strict")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

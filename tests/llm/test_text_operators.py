@@ -125,6 +125,19 @@ def test_strict_hosts(spark):
     assert kept == {i for i, t, h in rows if t == good or h == "fine"}
 
 
+def test_single_letters_and_hosts_that_stand_out(spark):
+    """Host odd fails base rules in a third of its documents, the others hardly: its documents that break a soft rule go, as do single letters anywhere."""
+    good, letters, shouting = " ".join(f"word{i}" for i in range(80)), " ".join(chr(97 + i * 7 % 26) for i in range(80)), " # ".join(f"word{i}" for i in range(60)) + " # # # # # # #"
+    rows = [(1000 * h + i, "too short" if i % (3 if h == 9 else 50) == 0 else good, f"h{h}") for h in range(10) for i in range(100)]
+    rows += [(20_001, letters, "h1"), (20_002, shouting, "h9"), (20_003, shouting, "h1")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    limits = quality_rules.SOFT | {"symbols": 0.4}
+    found = {r.doc_id: r for r in quality_rules.quality_rules(frame, limits=limits).filter("doc_id > 20000 OR doc_id IN (9001, 1001)").collect()}
+    assert {i for i, r in found.items() if r.kept} == {1001, 9001, 20_003}
+    assert found[9001].host_strict and not found[1001].host_strict
+    assert {r.doc_id for r in quality_rules.keep_passing(frame).filter("doc_id > 20000").collect()} == {20_003}
+
+
 def test_rates_are_shrunk(spark):
     rows = [("big", i < 90) for i in range(100)] + [("tiny", True)] + [(f"h{k}", False) for k in range(8) for _ in range(50)]
     found = {r["host"]: r["shrunk_rate"] for r in quality_rules.host_verdicts(spark.createDataFrame(rows, "host string, fails boolean"), 0.5).collect()}
