@@ -1,7 +1,7 @@
 """Near copies by the Jaccard similarity of word shingles: every pair at `similarity` or more is linked, no other.
 
 A text's shingles are the distinct runs of `shingle` words (ASCII lower case), or all its words if it has fewer.
-Candidates come from two sides, and each is verified on both whole texts:
+Candidates come from two sides, and each is verified on both whole texts, once counts of shingles have ruled out most:
 
 1. SimHash links (simhash_dedup) of the same shingles, and neighbours under the keys of 2. They join most of a
    large group at a cost in proportion to it.
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm import simhash_dedup
-from meterloom.llm.common import Words, buffers, chunks, lower_ascii, parts, stored, text_bytes
+from meterloom.llm.common import Words, buffers, checked_broadcast, chunks, lower_ascii, parts, stored, text_bytes
 from meterloom.llm.components import components
 
 SHINGLE = 5
@@ -35,6 +35,8 @@ SIMILARITY = 0.8
 SAMPLE, COMMON = 8, 25
 #: Bound of the list of common shingles.
 MOST_COMMON = 200_000
+#: Counts by which pairs are ruled out before their texts are fetched.
+SLOTS = 64
 
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -71,6 +73,24 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def slots(codes: np.ndarray) -> bytes:
+    """How many shingles fall into each of SLOTS, 255 at most: two texts' counts differ by no more than their shingles do."""
+    return np.minimum(np.bincount((codes >> np.uint64(40)).astype(np.int64) % SLOTS, minlength=SLOTS), 255).astype(np.uint8).tobytes()
+
+
+def _possible(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            a, b = (np.frombuffer(b"".join(batch.column(f"slots_{c}").to_pylist()), np.uint8).reshape(-1, SLOTS).astype(np.int16) for c in "ab")
+            total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            good = np.abs(a - b).sum(axis=1) <= total * (1 - similarity) / (1 + similarity) + 1e-6
+            yield batch.select(["a", "b"]).filter(pa.array(good))
+
+    return run
+
+
 def _marked(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches):
@@ -79,7 +99,8 @@ def _marked(shingle: int):
             second = np.array([_mixed(x).sum(dtype=np.uint64) for x in sets], np.uint64)
             prints = simhash_dedup.fingerprints(batch.column("text"), shingle)
             cols = {k: pa.array(v.view(np.int64)) for k, v in (("s1", first), ("s2", second), ("fp", prints))}
-            yield pa.record_batch({"row": batch.column("row"), "id": batch.column("id")} | cols)
+            sizes = pa.array([len(x) for x in sets], pa.int64())
+            yield pa.record_batch({"row": batch.column("row"), "id": batch.column("id")} | cols | {"n": sizes, "slots": pa.array([slots(x) for x in sets], pa.binary())})
 
     return run
 
@@ -183,9 +204,16 @@ def _similar(shingle: int, similarity: float):
     return run
 
 
-def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """The pairs (a, b) of rows whose whole texts are similar enough."""
+def verified(pairs: DataFrame, marked: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs (a, b) of rows whose whole texts are similar enough; only texts of pairs that their counts allow are moved."""
     joined = pairs.filter("a < b").distinct()
+    for side in ("a", "b"):
+        marks = marked.select(F.col("row").alias(f"{side}_row"), F.col("n").alias(f"n_{side}"), F.col("slots").alias(f"slots_{side}"))
+        joined = joined.join(marks, F.col(side) == F.col(f"{side}_row"))
+    joined = joined.select("a", "b", "n_a", "n_b", "slots_a", "slots_b").mapInArrow(_possible(similarity), "a long, b long")
+    joined = stored(joined, "near-possible")
+    rows = stored(joined.select(F.col("a").alias("r")).union(joined.select("b")).distinct(), "near-rows")
+    texts = texts.join(checked_broadcast(rows), F.col("row") == F.col("r"), "left_semi")
     for side in ("a", "b"):
         joined = joined.join(texts.select(F.col("row").alias(f"{side}_row"), F.col("text").alias(f"text_{side}")), F.col(side) == F.col(f"{side}_row"))
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_similar(shingle, similarity), "a long, b long")
@@ -193,11 +221,12 @@ def verified(pairs: DataFrame, texts: DataFrame, shingle: int, similarity: float
 
 def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """(row, id, root): a row per row of texts (row, id, text); root: a row number, the same in a component."""
-    marked = stored(texts.mapInArrow(_marked(shingle), "row long, id long, s1 long, s2 long, fp long"), "near-marks")
+    marked = stored(texts.mapInArrow(_marked(shingle), "row long, id long, s1 long, s2 long, fp long, n long, slots binary"), "near-marks")
     nodes = stored(marked.groupBy("s1", "s2").agg(F.min("row").alias("node")), "near-nodes")
-    same = marked.join(nodes.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "node"), (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
+    same = marked.select("row", "id", "s1", "s2", "fp").join(nodes.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "node"), (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
     same = stored(same.select("row", "id", "node", "fp"), "near-same")
-    own = texts.join(same.filter("row = node").select(F.col("row").alias("node")), F.col("row") == F.col("node"), "left_semi")
+    twins = checked_broadcast(same.filter("row != node").select(F.col("row").alias("twin")))
+    own = texts.join(twins, F.col("row") == F.col("twin"), "left_anti")
     some = own.filter(F.pmod(F.xxhash64("row"), F.lit(SAMPLE)) == 0).mapInArrow(_shingled(shingle), "key long")
     counts = stored(some.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON), "near-common")
     total = counts.agg(F.sum("n").alias("n")).first()["n"] or 0
@@ -218,10 +247,10 @@ def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SI
     hx, hy = (heads.select(F.col("fp").alias(f"f{c}"), F.col("head").alias(f"h{c}")) for c in "xy")
     links = links.join(hx, F.col("x") == F.col("fx")).join(hy, F.col("y") == F.col("fy")).select(F.least("hx", "hy").alias("a"), F.greatest("hx", "hy").alias("b"))
     first = equal.unionByName(links).unionByName(meet(keys.withColumn("root", F.lit(0).cast("long")), False))
-    found = stored(verified(first, texts, shingle, similarity), "near-links")
+    found = stored(verified(first, marked, texts, shingle, similarity), "near-links")
     roots = components(found).withColumnRenamed("root", "r")
     labelled = keys.join(roots, F.col("row") == F.col("node"), "left").select("key", "row", "n", F.coalesce("r", "row").alias("root"))
-    rest = stored(verified(meet(labelled, True), texts, shingle, similarity), "near-links")
+    rest = stored(verified(meet(labelled, True), marked, texts, shingle, similarity), "near-links")
     if not rest.isEmpty():
         roots = components(found.unionByName(rest)).withColumnRenamed("root", "r")
     roots = roots.select(F.col("node").alias("m"), "r")
@@ -233,6 +262,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILA
     numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
     texts = numbered.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
     found = near_copies(texts, shingle, similarity)
-    heads = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head"))
-    heads = heads.select(F.col("head.row").alias("__kept"))
-    return numbered.join(heads, F.col("__row") == F.col("__kept"), "left_semi").select(*(f"`{c}`" for c in docs.columns))
+    lost = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    lost = found.join(lost.select(F.col("root").alias("r"), F.col("head.row").alias("kept")), (F.col("root") == F.col("r")) & (F.col("row") != F.col("kept")))
+    lost = checked_broadcast(stored(lost.select(F.col("row").alias("__lost")), "near-lost"))
+    return numbered.join(lost, F.col("__row") == F.col("__lost"), "left_anti").select(*(f"`{c}`" for c in docs.columns))
