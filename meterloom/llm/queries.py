@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from meterloom.llm import (
     bpe,
+    conversation_repair,
     exact_dedup,
     language_id,
     lm_scoring,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id.op8_language_id,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
