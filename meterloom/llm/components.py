@@ -1,7 +1,10 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Each step is a grouped minimum (combined before the shuffle) and a join back to the edges, which Spark
-splits where a node has many neighbours. Steps are stored in the shared folder, so lineage stays short.
+Each step is a grouped minimum (combined before the shuffle) and a join back to the edges. The minima are dealt out
+anew before the join, so that both its sides are exchanged for it: then Spark splits the node that has many neighbours.
+Steps are stored in the shared folder, so lineage stays short.
+
+Edge cases: edges of a node to itself, nulls and repeated edges say nothing; without edges there are no rows.
 """
 
 from __future__ import annotations
@@ -9,17 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from meterloom.llm.common import stored
+from meterloom.llm.common import parts, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
     """edges: (a, b) with a > b, distinct."""
     if large:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).select(F.col("a").alias("n"), "m")
+        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")).select(F.col("a").alias("n"), "m").repartition(parts(edges))
         linked = both.filter("b > a").join(least, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     else:
-        least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m")
+        least = edges.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), "m").repartition(parts(edges))
         joined = edges.join(least, F.col("a") == F.col("n"))
         linked = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select(F.col("n").alias("a"), F.col("m").alias("b")))
     return linked.filter("a > b").distinct()

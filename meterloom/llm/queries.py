@@ -16,8 +16,10 @@ from meterloom.llm import (
     quality_rules,
     simhash_dedup,
     substring_dedup,
+    token_alignment,
     token_files,
     toxicity,
+    url_filters,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -31,9 +33,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language_id": language_id.op8_language_id,
     "op9_toxicity": toxicity.op9_toxicity,
     "op10_substring_dedup": substring_dedup.op10_substring_dedup,
+    "op11_url_filters": url_filters.op11_url_filters,
+    "op12_token_alignment": token_alignment.op12_token_alignment,
     "op13_conversation_repair": conversation_repair.op13_conversation_repair,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_exact_dedup": exact_dedup.SQL,
+    "op11_url_filters": url_filters.SQL,
 }

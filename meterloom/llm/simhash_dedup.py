@@ -220,6 +220,7 @@ def simhash_dedup(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS,
     labels = marked.groupBy("fp").agg(F.min("doc_id").alias("least")).join(roots, F.col("fp") == F.col("node"), "left")
     labels = labels.select("fp", F.coalesce("root", "fp").alias("root"), "least")
     named = labels.groupBy("root").agg(F.min("least").alias("component_id")).select(F.col("root").alias("r"), "component_id")
+    named = named.repartition(parts(named))  # both sides of the join are then exchanged for it, and Spark splits a large component
     labels = labels.join(named, F.col("root") == F.col("r")).select(F.col("fp").alias("f"), "component_id")
     found = marked.join(labels, F.col("fp") == F.col("f"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
