@@ -1,5 +1,8 @@
 """Reading and inventory frames derived from the test tables (see FIXTURES.md)."""
 
+import uuid
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -8,6 +11,7 @@ from meterloom.functions.keys import iv_row_key, om_row_key
 from meterloom.functions.timeslots import DAY_MS, STEP_MS, snap, whole
 from meterloom.operators.spread import bounded_join
 from meterloom.schemas import IV, OM, QUALIFIERS, SCHEMAS
+from meterloom.sources.layout import save_bucketed
 
 FIRST_DAY = "2024-01-01"
 
@@ -344,6 +348,23 @@ class Fixtures:
     def _instantaneous_value_magnitude(self):
         return self._numbered(24, "instantaneous ")
 
+    def repeated_dictionaries(self):
+        """Dictionaries that grow with the tables; each repeats its codes, and both share some."""
+        parts = self.table("part").select((F.col("p_partkey") % 5000).alias("id"))
+        lines = self.table("lineitem").select((F.col("l_partkey") * 2).alias("id"))
+        described = F.concat(F.lit("code "), F.col("id").cast("string")).alias("description")
+        codes = {"magnitude": parts, "instantaneous_value_magnitude": lines}
+        return {name: ids.select(F.col("id").cast("bigint"), described) for name, ids in codes.items()}
+
+    def bucketed(self, kind):
+        """A reading table in buckets by point and folders by day, saved in the warehouse once a session."""
+        name = f"meterloom_{kind}_{zlib.crc32(self.base.encode()):08x}"
+        if not self.spark.catalog.tableExists(name):
+            unique = f"{name}_{uuid.uuid4().hex}"
+            folder = f"{self.spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{unique}"
+            save_bucketed(getattr(self, kind), name, kind, 8, path=folder, by_day=True)
+        return self.spark.table(name)
+
     def _plate(self):
         prefix = F.when(F.col("c_custkey") % 3 == 0, "070").otherwise("080")
         return F.concat(prefix, F.col("c_custkey").cast("string"))

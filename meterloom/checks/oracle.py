@@ -356,7 +356,8 @@ _QUERIES = {
     "source_dictionary": """
         SELECT source_id AS "SOURCE_ID", source_name AS "SOURCE_NAME" FROM source_names""",
     "union_distinct_magnitudes": """
-        SELECT magnitude_id AS "MAGNITUDE_ID", description AS "DESCRIPTION" FROM magnitude_names""",
+        SELECT id AS "MAGNITUDE_ID", 'code ' || id AS "DESCRIPTION"
+        FROM (SELECT p_partkey % 5000 AS id FROM part UNION SELECT l_partkey * 2 FROM lineitem)""",
     "inspection_date_format": """
         SELECT code AS "PM", strftime(inspected_on, '%Y%m%d') AS "DATE" FROM inspected""",
     "restrict_points_window_iv": f"""
@@ -404,6 +405,10 @@ _QUERIES = {
 
 _QUERIES["interval_join_equipment_shuffled"] = _QUERIES["interval_join_equipment"]
 _QUERIES["restrict_points_window_shuffled"] = _QUERIES["restrict_points_window_iv"]
+_QUERIES["restrict_points_window_laid_out"] = _QUERIES["restrict_points_window_iv"]
+_QUERIES["restrict_own_window_laid_out"] = _QUERIES["restrict_own_window"]
+_QUERIES["restrict_daily_template_laid_out"] = _QUERIES["restrict_daily_template"]
+_QUERIES["pivot_points_window_laid_out"] = _iv_pivot(f"({_QUERIES['restrict_points_window_iv']})", _THREE)
 
 
 def _frames_for(text, chosen):

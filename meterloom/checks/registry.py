@@ -26,7 +26,7 @@ from meterloom.operators.restrict import (
     points_window,
 )
 from meterloom.plans import curves, extract, inventory
-from meterloom.schemas import ENERGY_COLUMNS, THREE_PHASE_COLUMNS
+from meterloom.schemas import DAY_COLUMN, ENERGY_COLUMNS, THREE_PHASE_COLUMNS
 from meterloom.sources.cells import decode_cells, gather_cells
 
 START = argument_ms("202401050000")
@@ -229,8 +229,8 @@ def pivot_max_magnitudes(f):
 
 @check
 def pivot_missing_magnitude(f):
-    wide = pivot_max(f.om_missing, ["measuring_point", "day", "period"], ENERGY_COLUMNS)
-    return absent_as(wide, f.om_missing, ENERGY_COLUMNS)
+    keys = ["measuring_point", "day", "period"]
+    return absent_as(pivot_max(f.om_missing, keys, ENERGY_COLUMNS, presence=True), ENERGY_COLUMNS)
 
 
 # inventory
@@ -298,7 +298,7 @@ def source_dictionary(f):
 
 @check
 def union_distinct_magnitudes(f):
-    return inventory.magnitudes(f)
+    return inventory.magnitudes(f.repeated_dictionaries())
 
 
 @check
@@ -320,6 +320,20 @@ def restrict_points_window_shuffled(f):
     return points_window(f.iv, inventory.points_by_plate(f), START, STOP, max_rows=0)
 
 
+@check
+def restrict_points_window_laid_out(f):
+    """The same on a table in folders by day and buckets by point."""
+    kept = points_window(f.bucketed("iv"), inventory.points_by_plate(f), START, STOP)
+    return kept.drop(DAY_COLUMN)
+
+
+@check
+def pivot_points_window_laid_out(f):
+    """Restricted and pivoted without an exchange."""
+    kept = points_window(f.bucketed("iv"), inventory.points_by_plate(f), START, STOP)
+    return pivot_max(kept, ["measuring_point", "date"], THREE_PHASE_COLUMNS)
+
+
 @check
 def restrict_points_window_om(f):
     return points_hours(f.om, inventory.points_by_plate(f), START, STOP, 1)
@@ -331,6 +345,12 @@ def restrict_own_window(f):
     return own_window(f.om, windows, "day")
 
 
+@check
+def restrict_own_window_laid_out(f):
+    windows = inspection_windows(inventory.inspected_points(f), "PUNTO_MEDIDA_INTERNO", "PUNTO_SERVICIO")
+    return own_window(f.bucketed("om"), windows, "day").drop(DAY_COLUMN)
+
+
 @check
 def restrict_own_window_iv(f):
     return own_window(f.iv_offgrid, _windows(f), "date")
@@ -341,6 +361,11 @@ def restrict_daily_template(f):
     return daily_template(f.om, START, STOP, 1, list(ENERGY_COLUMNS))
 
 
+@check
+def restrict_daily_template_laid_out(f):
+    return daily_template(f.bucketed("om"), START, STOP, 1, list(ENERGY_COLUMNS)).drop(DAY_COLUMN)
+
+
 # column functions
 
 

@@ -7,10 +7,11 @@
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import argument_ms, snap
+from meterloom.operators.restrict import unreadable_dates
 from meterloom.plans import curves, extract, inventory
 from meterloom.sinks.files import stamped, write_csv, write_parquet
 from meterloom.sources.cells import read_cells
@@ -40,6 +41,9 @@ def _parser() -> argparse.ArgumentParser:
         sub.add_argument("--format", choices=("csv", "parquet"), default="csv")
         sub.add_argument("--tz", default="UTC", help="zone of arguments, days and written times")
         sub.add_argument("--files", type=int, help="number of output files")
+        sub.add_argument(
+            "--run", metavar="NAME", help="write to run=NAME and replace what a run of that name wrote"
+        )
         if window:
             sub.add_argument("--start", required=True, help=window)
             sub.add_argument("--stop", required=True, help=window)
@@ -50,13 +54,16 @@ def _parser() -> argparse.ArgumentParser:
     iv = job("iv-curves", "iv", window="epoch ms", points=True)
     iv.add_argument("--phases", type=int, choices=(1, 3), default=3)
     iv.add_argument("--snap", action="store_true", help="floor times to the quarter hour")
+    rejects = {"metavar": "PATH", "help": "write inspections without a readable date there"}
     before = job("iv-before-inspection", "iv")
+    before.add_argument("--rejects", **rejects)
     before.add_argument("--days", type=int, default=90)
     before.add_argument("--phases", type=int, choices=(1, 3), default=3)
     energy = job("energy-curves", "om", window="yyyyMMddHHmm", points=True)
     energy.add_argument("--gaps", choices=("null", "text"), default="null")
     energy.add_argument("--overwrite", action="store_true")
     inspected = job("energy-before-inspection", "om")
+    inspected.add_argument("--rejects", **rejects)
     inspected.add_argument("--batch", type=int, help="inspection batch; all when absent")
     inspected.add_argument("--batch-size", type=int, default=inventory.BATCH_SIZE)
     inspected.add_argument("--days", type=int, default=90)
@@ -81,13 +88,28 @@ def _splits(texts: list[str]) -> dict[str, dict]:
 
 
 def _write(rows: DataFrame, path: str, args, header=True, delimiter=",", **settings) -> None:
+    settings |= {"num_files": args.files, "run": args.run}
     if args.format == "parquet":
-        written = write_parquet(rows, path, num_files=args.files, **settings)
+        written = write_parquet(rows, path, **settings)
     else:
-        written = write_csv(rows, path, header, delimiter, num_files=args.files, **settings)
+        written = write_csv(rows, path, header, delimiter, **settings)
     print(f"{written} rows written to {path}")
 
 
+def _stamped(args) -> str:
+    """The run's folder; a named run has a folder of its own anyway."""
+    return args.out if args.run else stamped(args.out, args.tz)
+
+
+def _report_rejects(inspections: DataFrame, unreadable: Observation, args) -> None:
+    """Say how many inspections had no readable date, and write them where asked."""
+    count = unreadable.get["unreadable"]
+    if count:
+        print(f"{count} inspections without a readable date are left out")
+    if args.rejects:
+        write_csv(unreadable_dates(inspections), args.rejects, mode="overwrite", num_files=1)
+
+
 def _inventory(spark: SparkSession, args):
     if args.inventory.startswith("jdbc:"):
         properties = dict(option.split("=", 1) for option in args.jdbc_option)
@@ -136,8 +158,9 @@ def _iv_before_inspection(spark, inv, args):
     inspections = inventory.inspections_with_points(inv)
     if _nothing_to_do(inspections):
         return
+    unreadable = Observation()
     curve = curves.iv_before_inspection(
-        _readings(spark, args, "iv"), inspections, args.days, args.phases
+        _readings(spark, args, "iv"), inspections, args.days, args.phases, unreadable=unreadable
     )
     folder = "triphasic" if args.phases == 3 else "monophasic"
     _write(
@@ -146,6 +169,7 @@ def _iv_before_inspection(spark, inv, args):
         args,
         sort_by=["measuring_point", "date"],
     )
+    _report_rejects(inspections, unreadable, args)
 
 
 def _energy_curves(spark, inv, args):
@@ -163,7 +187,7 @@ def _energy_curves(spark, inv, args):
     )
     _write(
         curve,
-        stamped(args.out, args.tz),
+        _stamped(args),
         args,
         header=False,
         mode="overwrite" if args.overwrite else "append",
@@ -175,10 +199,17 @@ def _energy_before_inspection(spark, inv, args):
     inspections = inventory.inspected_points(inv, args.batch, args.batch_size)
     if _nothing_to_do(inspections):
         return
+    unreadable = Observation()
     energy = curves.energy_before_inspection(
-        _readings(spark, args, "om"), inspections, args.days, args.legacy, args.rollover
+        _readings(spark, args, "om"),
+        inspections,
+        args.days,
+        args.legacy,
+        args.rollover,
+        unreadable=unreadable,
     )
-    _write(energy, stamped(args.out, args.tz), args, delimiter=";")
+    _write(energy, _stamped(args), args, delimiter=";")
+    _report_rejects(inspections, unreadable, args)
 
 
 def _indirect_extract(spark, inv, args):
@@ -193,7 +224,7 @@ def _indirect_extract(spark, inv, args):
         args.legacy_labels,
         args.rollover,
     )
-    path = args.out if args.overwrite else stamped(args.out, args.tz)
+    path = args.out if args.overwrite else _stamped(args)
     _write(
         rows,
         path,

@@ -1,30 +1,30 @@
 """Range joins: a reading's time against the validity spans of its point.
 
-Spans are cut into time buckets, so that a reading meets only the spans of its own point that
-touch its own bucket.  That turns the range condition into an equality plus a short residual,
-and also spreads one busy point over as many keys as there are buckets.
+The histories of a point are brought together first: spans of different histories that overlap
+become one span with the attributes of all, and for a semi join spans that touch become one.
+Then each reading meets the spans of its point once, for all histories.  The readings are read
+and moved at most once; no job measures them.
 """
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meterloom.functions.timeslots import whole
 from meterloom.operators.spread import (
     BROADCAST_ROWS,
-    HOT_ROWS,
     SALT,
     copied,
+    fits,
     hot_keys,
     row_identity,
     salted,
 )
 
-BUCKETS = 8192
-
-_TIME, _KEY, _BUCKET, _LOW, _HIGH = "__time", "__key", "__bucket", "__low", "__high"
+_TIME, _KEY, _LOW, _HIGH = "__time", "__key", "__low", "__high"
+_EVER = (1 << 63) - 1
 
 
 @dataclass(frozen=True)
@@ -53,103 +53,80 @@ def span_join(
     sides: Sequence[Spans],
     how: str = "inner",
     window: tuple[int, int] | None = None,
-    buckets: int = BUCKETS,
     max_rows: int = BROADCAST_ROWS,
     salt_by: Sequence[str] | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = None,
 ) -> DataFrame:
     """Join readings to the spans of their key that contain their time, for every side.
 
-    Overlapping spans multiply rows.  ``window`` is a known range around the times, read from the
-    readings when absent.  ``how`` is inner, or left_semi with one side.
+    Overlapping spans multiply rows.  ``window`` is a known range around the times; spans outside
+    it are dropped and others cut to it.  ``how`` is inner, or left_semi with one side.
 
-    Each side is measured once.  A bucket is at least as wide as the mean span, so cutting gives
-    at most three pieces per span on average, and there are at most ``buckets`` buckets.  Sides
-    small enough are broadcast; the others share one exchange of the readings, on key, bucket
-    and salt.
+    The spans are broadcast if there are at most ``max_rows`` of them, counted before.  Otherwise
+    both sides are exchanged on the key, and adaptive execution splits a key with many readings,
+    as the spans are exchanged for this join alone.  Where that is off, ``hot_rows`` counts the
+    readings of each key and salts those above it, which reads them once more.
     """
     if how not in ("inner", "left_semi") or (how == "left_semi" and len(sides) > 1):
         raise ValueError(f"unsupported join {how!r} with {len(sides)} sides")
-    timed = readings.withColumn(_TIME, time)
-    splittable = True
-    if window is None:
-        *window, count = timed.agg(F.min(_TIME), F.max(_TIME), F.count(F.lit(1))).first()
-        window = (0, -1) if window[0] is None else window
-        splittable = count > hot_rows
-    first, last = window
-
-    clipped = [_clip(side, how, first, last) for side in sides]
-    sizes = [_measure(ends, first, last) for ends in clipped]
-    means = [length // rows for rows, length in sizes if rows]
-    width = max([(last - first) // buckets + 1, 1, *means])
-    # a span touches at most two buckets more than it fills
-    small = [2 * rows + length // width <= max_rows for rows, length in sizes]
-
-    def bucket_of(moment):
-        return whole(moment - F.lit(first).cast("bigint"), width)
-
-    joined = timed.filter(F.col(_TIME).between(first, last)).withColumns(
-        {_KEY: F.col(key), _BUCKET: bucket_of(F.col(_TIME))}
-    )
-    cut = [
-        ends.withColumn(
-            _BUCKET,
-            F.explode(
-                F.sequence(
-                    bucket_of(F.greatest(F.col(_LOW), F.lit(first))),
-                    bucket_of(F.least(F.col(_HIGH), F.lit(last))),
-                )
-            ),
-        )
-        for ends in clipped
-    ]
-    keys = [_KEY, _BUCKET]
-    hot = None
-    if splittable and not all(small):
-        hot = hot_keys(joined.select(*keys), keys, hot_rows)
-    for i, side in enumerate(sides):
-        if small[i]:
-            joined = _attach(joined, F.broadcast(cut[i]), keys, side, how)
-    if hot is not None:
-        joined = salted(joined, hot, keys, salt_by or row_identity(readings))
-        cut = [rows if small[i] else copied(rows, hot, keys) for i, rows in enumerate(cut)]
-        keys = [*keys, SALT]
-    for i, side in enumerate(sides):
-        if not small[i]:
-            joined = _attach(joined, cut[i], keys, side, how)
+    spans = [_half_open(side, how, window) for side in sides]
+    together = islands(spans[0], _KEY, _LOW, _HIGH) if how == "left_semi" else reduce(_overlaps, spans)
+    timed = readings.withColumns({_TIME: time, _KEY: F.col(key)})
+    keys = [_KEY]
+    if fits(together, max_rows):
+        together = F.broadcast(together)
+    elif hot_rows is None:
+        together = together.hint("rebalance")
+    else:
+        hot = hot_keys(timed.select(_KEY), keys, hot_rows)
+        timed = salted(timed, hot, keys, salt_by or row_identity(readings))
+        together, keys = copied(together, hot, keys), [_KEY, SALT]
+    right = together.withColumnsRenamed({name: f"{name}__r" for name in keys})
+    condition = (F.col(_TIME) > F.col(_LOW)) & (F.col(_TIME) <= F.col(_HIGH))
+    for name in keys:
+        condition = condition & (F.col(name) == F.col(f"{name}__r"))
     extra = [] if how == "left_semi" else [name for side in sides for name in side.attributes]
-    return joined.select(*readings.columns, *extra)
+    return timed.join(right, condition, how).select(*readings.columns, *extra)
 
 
-def _clip(side: Spans, how: str, first: int, last: int) -> DataFrame:
-    """Key, ends and attributes of the spans that touch the window.
+def islands(spans: DataFrame, key: str, low: str, high: str) -> DataFrame:
+    """The union of each key's spans (low exclusive, high inclusive) as spans that don't touch.
 
-    For a semi join, spans of one key and start are one span up to their latest end.
+    A span opens an island if it begins after the furthest end of those before it.
     """
-    attributes = side.attributes if how == "inner" else []
-    ends = side.rows.select(
-        F.col(side.key).alias(_KEY), side.low.alias(_LOW), side.high.alias(_HIGH), *attributes
+    longest = spans.groupBy(key, low).agg(F.max(high).alias(high))
+    ordered = Window.partitionBy(key).orderBy(low)
+    before = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.col(low) > F.coalesce(F.max(high).over(before), F.col(low) - 1)
+    numbered = longest.withColumn("__opens", opens.cast("bigint")).withColumn(
+        "__island", F.sum("__opens").over(ordered)
     )
-    if how == "left_semi":
-        latest = F.when(F.count(_HIGH) == F.count(F.lit(1)), F.max(_HIGH))
-        ends = ends.groupBy(_KEY, _LOW).agg(latest.alias(_HIGH))
-    closes_inside = (F.col(_HIGH) >= first) & (F.col(_LOW) <= F.col(_HIGH))
-    return ends.filter((F.col(_LOW) <= last) & (F.col(_HIGH).isNull() | closes_inside))
-
+    merged = numbered.groupBy(key, "__island").agg(F.min(low).alias(low), F.max(high).alias(high))
+    return merged.select(key, low, high)
 
-def _measure(ends: DataFrame, first: int, last: int) -> tuple[int, int]:
-    """Number of spans and their total length inside the window."""
-    length = F.least(F.col(_HIGH), F.lit(last)) - F.greatest(F.col(_LOW), F.lit(first))
-    rows, total = ends.agg(F.count(F.lit(1)), F.sum(length.cast("decimal(38,0)"))).first()
-    return rows, int(total or 0)
 
-
-def _attach(joined, rows, keys, side, how):
-    low, high = F.col(_LOW), F.col(_HIGH)
-    begins = F.col(_TIME) > low if side.low_open else F.col(_TIME) >= low
-    condition = begins & (high.isNull() | (F.col(_TIME) <= high))
-    for name in keys:
-        condition = condition & (F.col(name) == F.col(f"{name}__r"))
-    renamed = rows.withColumnsRenamed({name: f"{name}__r" for name in keys})
-    result = joined.join(renamed, condition, how)
-    return result if how == "left_semi" else result.drop(_LOW, _HIGH, *[f"{name}__r" for name in keys])
+def _half_open(side: Spans, how: str, window: tuple[int, int] | None) -> DataFrame:
+    """Key, ends (low exclusive, high inclusive, none null) and attributes, cut to the window."""
+    attributes = side.attributes if how == "inner" else []
+    low = side.low if side.low_open else side.low - 1
+    high = F.coalesce(side.high, F.lit(_EVER))
+    if window is not None:
+        # greatest and least skip nulls
+        low = F.when(low.isNotNull(), F.greatest(low, F.lit(window[0] - 1)))
+        high = F.least(high, F.lit(window[1]))
+    ends = side.rows.select(F.col(side.key).alias(_KEY), low.alias(_LOW), high.alias(_HIGH), *attributes)
+    return ends.filter(F.col(_KEY).isNotNull() & (F.col(_LOW) < F.col(_HIGH)))
+
+
+def _overlaps(left: DataFrame, right: DataFrame) -> DataFrame:
+    """The common parts of both histories' spans of a key, with the attributes of both."""
+    other = right.withColumnsRenamed({name: f"{name}__r" for name in (_KEY, _LOW, _HIGH)})
+    low, high = F.greatest(_LOW, f"{_LOW}__r"), F.least(_HIGH, f"{_HIGH}__r")
+    met = left.join(
+        other,
+        (F.col(_KEY) == F.col(f"{_KEY}__r"))
+        & (F.col(_LOW) < F.col(f"{_HIGH}__r"))
+        & (F.col(f"{_LOW}__r") < F.col(_HIGH)),
+    )
+    attributes = [name for name in (*left.columns, *right.columns) if name not in (_KEY, _LOW, _HIGH)]
+    return met.select(_KEY, low.alias(_LOW), high.alias(_HIGH), *attributes)

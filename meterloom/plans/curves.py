@@ -3,20 +3,34 @@
 from collections.abc import Mapping
 from datetime import tzinfo
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from meterloom.functions.labels import gap_text
 from meterloom.functions.timeslots import DAY_MS, STEP_MS, date_ms, epoch_seconds, slot_ms, slot_timestamp
-from meterloom.operators.grid import clipped_grid, fill_grid, own_window_grid, pivoted_bounds
-from meterloom.operators.pivoting import absent_as, pivot_max
+from meterloom.operators.grid import (
+    NOWHERE,
+    clipped_ends,
+    fill_packed,
+    own_window_ends,
+    packed,
+    packed_bounds,
+    packed_presence,
+)
+from meterloom.operators.pivoting import (
+    absent_as,
+    filled_where_absent,
+    pivot_max,
+    presence_flags,
+)
 from meterloom.operators.restrict import (
     daily_template,
     inspection_windows,
+    keep_points,
+    mark_points,
     outer_window,
     own_window,
     points_window,
-    prefilter_points,
 )
 from meterloom.operators.spans import Spans, span_join
 from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS, bounded_join
@@ -41,15 +55,26 @@ def _curve(
     stop: int,
     step: int,
     points: DataFrame | None,
+    absent: float | None = None,
 ) -> DataFrame:
     """(measuring_point, slot, one column per magnitude) on each point's clipped grid.
 
-    Readings are pivoted once; the bounds and the fill share that exchange.  The outer code is
-    attached to the bounds, one row per point, rather than to every slot.
+    Readings are pivoted once and packed; the bounds, the fill and the presence of magnitudes
+    share the packs' exchange.  The outer code is attached to the bounds, one row per point.
+    Readings without point or time, or of points to be left out, count only for presence.
     """
-    columns = list(names.values())
-    wide = pivot_max(_placed(readings, time), ["measuring_point", time], names)
-    bounds = pivoted_bounds(wide, "measuring_point", time, columns)
+    columns, marked = list(names.values()), absent is not None
+    flags = presence_flags(names) if marked else []
+    if marked:
+        # without a point there is no time to bound, so that such rows share a group
+        lost = F.col("measuring_point").isNull()
+        nowhere = F.coalesce("measuring_point", F.lit(NOWHERE))
+        read = readings.withColumns({time: F.when(~lost, F.col(time)), "measuring_point": nowhere})
+    else:
+        read = _placed(readings, time)
+    wide = pivot_max(read, ["measuring_point", time], names, presence=marked)
+    packs = packed(wide, "measuring_point", time, [*columns, *flags], step)
+    bounds = packed_bounds(packs, "measuring_point")
     if points is None:
         labelled = bounds.withColumn("label", F.col("measuring_point"))
     else:
@@ -57,10 +82,14 @@ def _curve(
             F.col("ID").cast("bigint").alias("measuring_point"), F.col("CODE").alias("label")
         )
         labelled = bounds.join(codes, "measuring_point")
-    grid = clipped_grid(labelled, start, stop, step)
-    return fill_grid(grid, wide, "measuring_point", time).select(
+    ends = clipped_ends(labelled, start, stop, step)
+    curve = fill_packed(ends, packs, "measuring_point", columns, step).select(
         F.col("label").alias("measuring_point"), "slot", *columns
     )
+    if not marked:
+        return curve
+    found = packed_presence(packs, dict(zip(columns, flags, strict=True)))
+    return filled_where_absent(curve, found, names, absent)
 
 
 def _phase_columns(phases: int) -> Mapping[int, str]:
@@ -86,8 +115,7 @@ def iv_curves(
 ) -> DataFrame:
     """Voltage and current per point and slot as text, gaps as NaN."""
     names = _phase_columns(phases)
-    windowed = _instantaneous(readings, names).filter(F.col("date").between(start, stop))
-    kept = prefilter_points(windowed, points, max_rows)
+    kept = points_window(_instantaneous(readings, names), points, start, stop, max_rows)
     curve = _curve(kept, "date", names, start, stop, step, points)
     return curve.select(
         "measuring_point",
@@ -112,7 +140,7 @@ def energy_curves(
 
     Without ``points`` all points are reported by their id.  ``gaps`` is ``null`` or ``text``
     (values as text, gaps as NaN).  ``absent`` fills a magnitude that no reading carries; None
-    leaves it a gap like any other.
+    leaves it a gap like any other.  A magnitude is present if any point's reading carries it.
     """
     if gaps not in ("null", "text"):
         raise ValueError(f"gaps must be 'null' or 'text', not {gaps!r}")
@@ -126,10 +154,11 @@ def energy_curves(
         "magnitude",
         "value",
     )
-    kept = slotted if points is None else prefilter_points(slotted, points, max_rows)
-    curve = _curve(kept, "day", names, start, stop, step, points)
-    if absent is not None:
-        curve = absent_as(curve, restricted, names, absent)
+    if points is not None and absent is None:
+        slotted = keep_points(slotted, points, max_rows)
+    elif points is not None:
+        slotted = mark_points(slotted, points, ["day"], max_rows)
+    curve = _curve(slotted, "day", names, start, stop, step, points, absent)
     values = [
         gap_text(F.col(name)).alias(name) if gaps == "text" else F.col(name)
         for name in names.values()
@@ -144,6 +173,7 @@ def iv_before_inspection(
     phases: int = 3,
     step: int = STEP_MS,
     max_rows: int = BROADCAST_ROWS,
+    unreadable: Observation | None = None,
 ) -> DataFrame:
     """Voltage and current curves of the days before each inspection, gaps as NaN.
 
@@ -151,11 +181,14 @@ def iv_before_inspection(
     own whole grid, also without any reading.
     """
     names = _phase_columns(phases)
-    windows = inspection_windows(inspections, "PUNTO_MEDIDA_MDM", "PUNTO_SERVICIO", days=days)
+    windows = inspection_windows(
+        inspections, "PUNTO_MEDIDA_MDM", "PUNTO_SERVICIO", days=days, unreadable=unreadable
+    )
     kept = own_window(_instantaneous(readings, names), windows, "date", max_rows)
     wide = pivot_max(_placed(kept, "date"), ["measuring_point", "date"], names)
-    grid = own_window_grid(windows.select("point", "code", "window_start", "window_stop"), step)
-    filled = fill_grid(grid, wide, "point", "date")
+    packs = packed(wide, "measuring_point", "date", list(names.values()), step)
+    ends = own_window_ends(windows.select("point", "code", "window_start", "window_stop"))
+    filled = fill_packed(ends, packs, "point", list(names.values()), step)
     return filled.select(
         F.col("code").alias("measuring_point"),
         epoch_seconds(F.col("slot")).alias("date"),
@@ -172,6 +205,7 @@ def energy_before_inspection(
     source: int = ENERGY_SOURCE,
     absent: float = -1.0,
     max_rows: int = BROADCAST_ROWS,
+    unreadable: Observation | None = None,
 ) -> DataFrame:
     """Energy per point and time in the days before an inspection, no grid.
 
@@ -180,7 +214,9 @@ def energy_before_inspection(
     point.  ``rollover`` puts period 96 on the next day instead of the start of its own.
     """
     names = ENERGY_COLUMNS
-    windows = inspection_windows(inspections, "PUNTO_MEDIDA_INTERNO", "PUNTO_SERVICIO", days=days)
+    windows = inspection_windows(
+        inspections, "PUNTO_MEDIDA_INTERNO", "PUNTO_SERVICIO", days=days, unreadable=unreadable
+    )
     measured = readings.filter(
         (F.col("measurement_interval") == QUARTER_HOUR)
         & F.col("magnitude").isin(*names)
@@ -194,7 +230,16 @@ def energy_before_inspection(
         "magnitude",
         "value",
     )
-    wide = absent_as(pivot_max(timed, ["measuring_point", "date"], names), timed, names, absent)
+    # keys that are never null leave nothing to push into one reader of the pivot only
+    never = F.timestamp_seconds(F.lit(-(1 << 35)))
+    keyed = timed.withColumns(
+        {
+            "measuring_point": F.coalesce("measuring_point", F.lit(NOWHERE)),
+            "date": F.coalesce("date", never),
+        }
+    )
+    wide = pivot_max(keyed, ["measuring_point", "date"], names, presence=True)
+    wide = absent_as(wide, names, absent)
     if legacy:
         codes = windows.select(F.col("point").alias("measuring_point"), "code")
         joined = bounded_join(wide, codes, ["measuring_point"], "inner", max_rows)
@@ -216,4 +261,5 @@ def energy_before_inspection(
             max_rows=max_rows,
             salt_by=["measuring_point", "date"],
         )
-    return joined.select(F.col("code").alias("measuring_point"), "date", *names.values())
+    date = F.when(F.col("date") != never, F.col("date")).alias("date")
+    return joined.select(F.col("code").alias("measuring_point"), date, *names.values())

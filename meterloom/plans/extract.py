@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from meterloom.functions.labels import interval_label
 from meterloom.functions.timeslots import DAY_MS, second_timestamp, slot_timestamp
 from meterloom.operators.enrich import interval_join, lookup, validity
-from meterloom.operators.restrict import hours_range, keep_points
+from meterloom.operators.restrict import hours_range, keep_points, time_window
 from meterloom.operators.spans import Spans
 from meterloom.operators.spread import BROADCAST_IDS, BROADCAST_ROWS
 from meterloom.plans import inventory
@@ -39,7 +39,7 @@ _READING = ("rowkey", "measuring_point", "magnitude", "measurement_interval", "v
 
 
 def instantaneous_part(iv: DataFrame, start: int, stop: int) -> DataFrame:
-    reported = iv.filter(F.col("magnitude").isin(*IV_MAGNITUDES) & F.col("date").between(start, stop))
+    reported = time_window(iv, start, stop).filter(F.col("magnitude").isin(*IV_MAGNITUDES))
     return reported.select(
         F.lit("IV").alias("kind"), *_READING, second_timestamp(F.col("date")).alias("date")
     )
@@ -53,6 +53,11 @@ def energy_part(om: DataFrame, start: int, stop: int, rollover: bool = False) ->
     )
 
 
+def window_parts(iv: DataFrame, om: DataFrame, start: int, stop: int, rollover: bool = False) -> DataFrame:
+    """Both kinds of readings in a window, in one shape."""
+    return instantaneous_part(iv, start, stop).unionByName(energy_part(om, start, stop, rollover))
+
+
 def window_readings(
     iv: DataFrame,
     om: DataFrame,
@@ -62,9 +67,8 @@ def window_readings(
     rollover: bool = False,
     max_rows: int = BROADCAST_IDS,
 ) -> DataFrame:
-    """Both kinds of readings of the points in a window, in one shape."""
-    both = instantaneous_part(iv, start, stop).unionByName(energy_part(om, start, stop, rollover))
-    return keep_points(both, points, max_rows)
+    """:func:`window_parts` of the points."""
+    return keep_points(window_parts(iv, om, start, stop, rollover), points, max_rows)
 
 
 def point_spans(history: DataFrame) -> Spans:
@@ -101,15 +105,16 @@ def indirect_extract(
     legacy_labels: bool = False,
     rollover: bool = False,
     max_rows: int = BROADCAST_ROWS,
-    max_ids: int = BROADCAST_IDS,
 ) -> DataFrame:
     """All readings of the indirect points in a window, one row per valid set of attributes.
 
+    Histories cover the indirect points only, so joining them restricts the readings too: with
+    all spans in one broadcast, or one exchange, there is no other join to the points.
+
     ``legacy_labels`` names magnitudes by number alone although both kinds share numbers, which
     repeats readings under a wrong description.
     """
-    points = inventory.indirect_points(inv)
-    readings = window_readings(iv, om, points, start, stop, rollover, max_ids)
+    readings = window_parts(iv, om, start, stop, rollover)
     histories = [
         point_spans(inventory.point_history(inv)),
         equipment_spans(inventory.equipment_history(inv)),

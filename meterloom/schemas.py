@@ -51,6 +51,10 @@ CELLS = _fields(
 
 SCHEMAS = {"om": OM, "iv": IV, "event": EVENT}
 
+#: The column that holds a kind's stored time, and the day folder of a table laid out by day.
+TIMES = {"om": "day", "iv": "date", "event": "day"}
+DAY_COLUMN = "reading_day"
+
 # The short cell name that stores each field, per kind of record.
 QUALIFIERS = {
     "om": {

@@ -3,11 +3,13 @@
 from collections.abc import Sequence
 from datetime import datetime, tzinfo
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, DataFrameWriter, Observation
 from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import zone
 
+RUN_COLUMN = "run"
+
 
 def run_stamp(tz: str | tzinfo = "UTC", now: datetime | None = None) -> str:
     """Folder name of a run, ``yyyyMMddHHmm``."""
@@ -40,6 +42,19 @@ def counted(df: DataFrame, name: str | None = None) -> tuple[DataFrame, Observat
     return df.observe(observation, F.count(F.lit(1)).alias("rows")), observation
 
 
+def run_writer(rows: DataFrame, mode: str, run: str | None) -> DataFrameWriter:
+    """A writer that appends or overwrites, or with a named ``run`` replaces that run's folder only.
+
+    Rows of a run lie in ``run=<name>``.  Spark moves a folder into place when its job has ended, so a
+    run that is repeated after a failure, or by mistake, leaves no doubles and other runs stay.
+    """
+    if run is None:
+        return rows.write.mode(mode)
+    named = rows.withColumn(RUN_COLUMN, F.lit(run))
+    dynamic = named.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    return dynamic.partitionBy(RUN_COLUMN)
+
+
 def write_csv(
     df: DataFrame,
     path: str,
@@ -48,10 +63,11 @@ def write_csv(
     mode: str = "append",
     num_files: int | None = None,
     sort_by: Sequence[str] | None = None,
+    run: str | None = None,
 ) -> int:
     """The number of rows written, observed after the sort, whose sampling reads the rows a second time."""
     rows, observed = counted(arrange(df, sort_by, num_files))
-    rows.write.mode(mode).options(header=header, delimiter=delimiter).csv(path)
+    run_writer(rows, mode, run).options(header=header, delimiter=delimiter).csv(path)
     return observed.get["rows"]
 
 
@@ -61,7 +77,8 @@ def write_parquet(
     mode: str = "append",
     num_files: int | None = None,
     sort_by: Sequence[str] | None = None,
+    run: str | None = None,
 ) -> int:
     rows, observed = counted(arrange(df, sort_by, num_files))
-    rows.write.mode(mode).parquet(path)
+    run_writer(rows, mode, run).parquet(path)
     return observed.get["rows"]

@@ -12,9 +12,14 @@ from meterloom.operators.batches import batch_numbers
 from meterloom.operators.enrich import interval_join, lookup, validity
 from meterloom.operators.grid import (
     clipped_grid,
+    PACK,
+    clipped_ends,
     fill_grid,
+    fill_packed,
+    own_window_ends,
     own_window_grid,
-    pivoted_bounds,
+    packed,
+    packed_bounds,
     time_axis,
     time_bounds,
 )
@@ -24,11 +29,11 @@ from meterloom.operators.restrict import (
     hours_range,
     inspection_windows,
     keep_points,
+    mark_points,
     own_window,
     points_window,
-    prefilter_points,
 )
-from meterloom.operators.spans import Spans, span_join
+from meterloom.operators.spans import Spans, islands, span_join
 from tests.conftest import rows
 
 DAY = 1704412800000
@@ -111,7 +116,7 @@ def test_span_join_equals_brute_force(spark, seed, low_open, max_rows, window):
     left = spark.createDataFrame(readings, "i int, k int, t bigint")
     right = spark.createDataFrame(spans, "s int, kk int, low bigint, high bigint")
     side = Spans(right, "kk", F.col("low"), F.col("high"), low_open)
-    settings = {"window": window, "max_rows": max_rows, "hot_rows": 5, "buckets": 7}
+    settings = {"window": window, "max_rows": max_rows, "hot_rows": 5 if seed == 1 else None}
     got = span_join(left, "k", F.col("t"), [side], **settings)
     assert got.columns == ["i", "k", "t", "s", "low", "high"]
     expected = brute_spans(readings, spans, low_open)
@@ -120,8 +125,9 @@ def test_span_join_equals_brute_force(spark, seed, low_open, max_rows, window):
     assert rows(semi.select("i")) == sorted({(i,) for i, _ in expected}, key=repr)
 
 
+@pytest.mark.parametrize("hot_rows", [5, None])
 @pytest.mark.parametrize("max_rows", [0, 70, 10_000])
-def test_two_sides_share_the_exchange_of_the_readings(spark, max_rows):
+def test_two_sides_meet_the_readings_together(spark, max_rows, hot_rows):
     readings, first = random_case(4)
     second = random_case(5)[1][:20]
     left = spark.createDataFrame(readings, "i int, k int, t bigint")
@@ -132,12 +138,19 @@ def test_two_sides_share_the_exchange_of_the_readings(spark, max_rows):
         Spans(a.withColumnsRenamed({"low": "al", "high": "ah"}), "ka", F.col("al"), F.col("ah")),
         Spans(b.withColumnsRenamed({"low": "bl", "high": "bh"}), "kb", F.col("bl"), F.col("bh")),
     ]
-    got = span_join(left, "k", F.col("t"), sides, max_rows=max_rows, hot_rows=5)
+    got = span_join(left, "k", F.col("t"), sides, max_rows=max_rows, hot_rows=hot_rows)
     one, two = brute_spans(readings, first, False), brute_spans(readings, second, False)
     expected = [(i, s, u) for i, s in one for j, u in two if i == j]
     assert rows(got.select("i", "a", "b")) == sorted(expected, key=repr)
 
 
+def test_islands_are_unions(spark):
+    many = [(1, i, i + 500 + i % 7) for i in range(1000)]
+    spans = [*many, (2, 0, 5), (2, 5, 9), (2, 9, 9), (2, 11, 12), (2, 0, 3), (3, -4, 2), (None, 1, 2)]
+    found = islands(spark.createDataFrame(spans, "k int, low bigint, high bigint"), "k", "low", "high")
+    assert rows(found) == sorted([(1, 0, 1504), (2, 0, 9), (2, 11, 12), (3, -4, 2), (None, 1, 2)], key=repr)
+
+
 def test_span_join_of_nothing(spark):
     left = spark.createDataFrame([], "i int, k int, t bigint")
     right = spark.createDataFrame([], "s int, kk int, low bigint, high bigint")
@@ -189,8 +202,12 @@ def test_window_is_inclusive_and_ids_may_be_decimals(spark):
     for max_rows in (0, 10):
         kept = points_window(readings, points, DAY, DAY + 10, max_rows)
         assert rows(kept.select("measuring_point", "date")) == [(1, DAY), (1, DAY + 10)]
-    assert prefilter_points(readings, points, 10).count() == 4
-    assert prefilter_points(readings, points, 0).count() == 4
+    for max_rows in (0, 10):
+        assert keep_points(readings, points, max_rows).count() == 4
+        marked = mark_points(readings, points, ["date"], max_rows)
+        assert marked.columns == readings.columns
+        left = [(None, None)] * 4 + [(1, t) for t in times]
+        assert rows(marked.select("measuring_point", "date")) == sorted(left, key=repr)
     assert keep_points(readings, points.limit(0)).count() == 0
 
 
@@ -273,21 +290,48 @@ def test_pivot_keeps_the_largest_and_absent_cells_stay_null(spark):
     names = {1: "one", 3: "three", 7: "seven"}
     wide = pivot_max(readings, ["p", "t"], names)
     assert rows(wide) == [(1, 5, 9.0, None, None), (1, 6, None, None, None), (2, 5, None, None, None)]
-    marked = absent_as(wide, readings, names)
+    marked = absent_as(pivot_max(readings, ["p", "t"], names, presence=True), names)
+    assert marked.columns == wide.columns
     assert rows(marked.select("p", "t", "three", "seven")) == [
         (1, 5, None, -1.0), (1, 6, None, -1.0), (2, 5, None, -1.0)
     ]
     twice = readings.unionByName(readings)
-    assert absent_as(pivot_max(twice, ["p", "t"], names), twice, names).count() == 3
+    assert absent_as(pivot_max(twice, ["p", "t"], names, presence=True), names).count() == 3
+    nothing = pivot_max(readings.limit(0), ["p", "t"], names, presence=True)
+    assert absent_as(nothing, names).count() == 0
 
 
-def test_bounds_of_pivoted_rows_equal_bounds_of_readings(spark):
+def test_bounds_of_packs_equal_bounds_of_readings(spark):
     chance = random.Random(9)
     data = [("k", chance.randrange(5), chance.randrange(1000), 13, 1.0) for _ in range(200)]
     readings = spark.createDataFrame(data, READING)
     wide = pivot_max(readings, ["measuring_point", "date"], {13: "v", 14: "c"})
-    pivoted = pivoted_bounds(wide, "measuring_point", "date", ["v", "c"])
-    assert rows(pivoted) == rows(time_bounds(readings))
+    for step in (1, 7, 900_000):
+        packs = packed(wide, "measuring_point", "date", ["v", "c"], step)
+        assert rows(packed_bounds(packs, "measuring_point")) == rows(time_bounds(readings))
+
+
+@pytest.mark.parametrize("step", [1, 7, 60])
+@pytest.mark.parametrize("origin", [0, -5000, 3])
+def test_packed_fill_equals_slot_by_slot(spark, step, origin):
+    """Packs of 96 slots on grids of any step and origin, also before the epoch, with readings on and off the grid."""
+    chance = random.Random(step)
+    moments = {(p, origin + chance.randrange(-300 * step, 700 * step)) for p in range(4) for _ in range(400)}
+    wide = spark.createDataFrame([(p, t, float(t)) for p, t in moments], "measuring_point bigint, date bigint, v double")
+    packs = packed(wide, "measuring_point", "date", ["v"], step)
+    assert packs.selectExpr("max(size(__cells))").first()[0] <= PACK
+    start, stop = origin, origin + 500 * step + 1
+    bounds = time_bounds(wide).withColumn("label", F.col("measuring_point") * 2)
+    by_slot = fill_grid(clipped_grid(bounds, start, stop, step), wide, "measuring_point", "date")
+    got = fill_packed(clipped_ends(bounds, start, stop, step), packs, "measuring_point", ["v"], step)
+    assert got.columns == by_slot.columns and got.count() > 1000
+    assert rows(got) == rows(by_slot)
+    windows = [(p, origin + chance.randrange(-400 * step, 400 * step), n) for p in range(6) for n in (0, 1, 95 * step, 300 * step + 2)]
+    shape = "point bigint, window_start bigint, window_stop bigint"
+    own = spark.createDataFrame([(p, a, a + n) for p, a, n in windows] + [(1, 5, 4), (2, None, None)], shape)
+    by_slot = fill_grid(own_window_grid(own, step).select("point", "slot"), wide, "point", "date")
+    got = fill_packed(own_window_ends(own), packs, "point", ["v"], step)
+    assert rows(got) == rows(by_slot)
 
 
 def test_fill_needs_exact_slots(spark):

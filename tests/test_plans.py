@@ -135,7 +135,7 @@ def test_extract_is_the_same_without_broadcast(spark, base):
     f = Fixtures(spark, base)
     window = (registry.START, registry.STOP)
     plain = extract.indirect_extract(f.iv_all_magnitudes, f.om, f, *window)
-    shuffled = extract.indirect_extract(f.iv_all_magnitudes, f.om, f, *window, max_rows=0, max_ids=0)
+    shuffled = extract.indirect_extract(f.iv_all_magnitudes, f.om, f, *window, max_rows=0)
     assert rows(plain) == rows(shuffled)
     assert plain.columns == list(extract.HEADINGS.values())
 
@@ -206,6 +206,90 @@ def test_chosen_group_is_no_shuffle_key(spark, base, capsys):
     assert "hashpartitioning(measuring_point_group" not in text
 
 
+def executed_nodes(df, scalars=True):
+    """Nodes of the plan that ran, stages opened, each reused exchange left out."""
+    found = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            return walk(node.executedPlan())
+        if name.endswith("QueryStage"):
+            return walk(node.plan())
+        if name.startswith("ReusedExchange") or name.startswith("ReusedSubquery"):
+            return None
+        found.append(node)
+        for kind in ("children", "subqueries") if scalars else ("children",):
+            below = getattr(node, kind)()
+            for i in range(below.size()):
+                walk(below.apply(i).child() if below.apply(i).nodeName().startswith("Subquery") else below.apply(i))
+        return None
+
+    df.collect()
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def metric(nodes, kind, name):
+    return sum(n.metrics().apply(name).value() for n in nodes if n.nodeName().startswith(kind))
+
+
+def test_inspection_grids_travel_packed(spark):
+    """A shuffled row for 96 slots, not for each: a twentieth of the grid at most."""
+    readings = spark.createDataFrame([iv_row(1, DAY - i * STEP_MS, 13, 220.5) for i in range(500)], IV)
+    inspections = spark.createDataFrame(
+        [(i % 5, f"P{i}", "05/01/2024") for i in range(20)],
+        "PUNTO_MEDIDA_MDM bigint, PUNTO_SERVICIO string, FECHAI1 string",
+    )
+    curve = curves.iv_before_inspection(readings, inspections, max_rows=0)
+    nodes = executed_nodes(curve)
+    assert curve.count() == 20 * 8641
+    assert 0 < metric(nodes, "Exchange", "shuffleRecordsWritten") < 20 * 8641 / 20
+
+
+@pytest.mark.parametrize("job", ["curve", "points", "before"])
+def test_presence_costs_no_second_read(spark, energy, tmp_path, job):
+    many = energy
+    for _ in range(4):
+        many = many.unionByName(many)
+    many.write.parquet(f"{tmp_path}/om")
+    stored = read_readings(spark, f"{tmp_path}/om", "om")
+    if job == "before":
+        inspections = spark.createDataFrame(
+            [(1, "A", "06/01/2024"), (3, "C", "06/01/2024")],
+            "PUNTO_MEDIDA_INTERNO bigint, PUNTO_SERVICIO string, FECHAI1 string",
+        )
+        result = curves.energy_before_inspection(stored, inspections)
+    else:
+        chosen = None if job == "curve" else points(spark, (1, "A"))
+        result = curves.energy_curves(stored, chosen, DAY, DAY + DAY_MS)
+    assert metric(executed_nodes(result), "Scan parquet", "numOutputRows") <= many.count()
+
+
+def test_presence_is_that_of_all_points(spark, energy):
+    chosen = points(spark, (1, "A"))
+    for max_rows in (0, 100):
+        got = curves.energy_curves(energy, chosen, DAY, DAY + DAY_MS, max_rows=max_rows)
+        assert {row[3] for row in rows(got)} == {None}  # only point 2 has magnitude 3
+
+
+def test_extract_reads_its_readings_once(spark, base, tmp_path):
+    """However many spans there are; few jobs run before the extract itself."""
+    f = Fixtures(spark, base)
+    f.iv_all_magnitudes.write.parquet(f"{tmp_path}/iv")
+    f.om.write.parquet(f"{tmp_path}/om")
+    iv, om = (read_readings(spark, f"{tmp_path}/{kind}", kind) for kind in ("iv", "om"))
+    extract.indirect_extract(iv, om, f, registry.START, registry.STOP)  # opens the inventory's files
+    for max_rows in (0, 200_000):
+        spark.sparkContext.setJobGroup(f"extract-{max_rows}", "building")
+        result = extract.indirect_extract(iv, om, f, registry.START, registry.STOP, max_rows=max_rows)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"extract-{max_rows}")) < 15
+        nodes = executed_nodes(result)
+        scans = [n for n in nodes if n.nodeName().startswith("Scan parquet") and str(tmp_path) in n.toString()]
+        assert 0 < sum(n.metrics().apply("numOutputRows").value() for n in scans) <= iv.count() + om.count()
+
+
 # sources, files, command line
 
 
