@@ -141,7 +141,14 @@ def fill_packed(
     wanted = ends.select(
         *kept, FIRST, LAST, F.pmod(first, F.lit(step)).alias(_REST), F.explode(starts).alias(_START)
     )
-    right = packs.withColumnsRenamed({pack_point: "__point", _REST: "__rest_r", _START: "__start_r"})
+    # the times beside the cells, once a pack: a slot's cell is found by its place among them
+    right = packs.select(
+        F.col(pack_point).alias("__point"),
+        F.col(_REST).alias("__rest_r"),
+        F.col(_START).alias("__start_r"),
+        CELLS,
+        F.col(CELLS).getField("slot").alias("__times"),
+    )
     joined = wanted.join(
         right,
         (F.col(point) == F.col("__point"))
@@ -151,19 +158,11 @@ def fill_packed(
     )
     low = F.greatest(first, start + F.col(_REST))
     high = F.least(last, start + F.col(_REST) + F.lit((PACK - 1) * step))
-    inside = F.filter(CELLS, lambda c: c.getField("slot").between(F.col(_LOW), F.col(_HIGH)))
-    none = F.array().cast(packs.schema[CELLS].dataType)
-    ranged = (
-        joined.select(*kept, low.alias(_LOW), high.alias(_HIGH), CELLS)
-        .filter(F.col(_LOW) <= F.col(_HIGH))
-        .withColumn("__read", F.coalesce(inside, none))
+    ranged = joined.select(*kept, low.alias(_LOW), high.alias(_HIGH), CELLS, "__times").filter(
+        F.col(_LOW) <= F.col(_HIGH)
     )
-    fields = ["slot", *values]
-    types = {field.name: field.dataType for field in packs.schema[CELLS].dataType.elementType}
-    gap = [F.lit(None).cast(types[name]).alias(name) for name in values]
-    cells = F.transform("__read", lambda c: F.struct(*[c.getField(n).alias(n) for n in fields]))
-    taken = F.transform("__read", lambda c: c.getField("slot"))
     slots = F.sequence(F.col(_LOW), F.col(_HIGH), F.lit(step).cast("bigint"))
-    gaps = F.transform(F.array_except(slots, taken), lambda s: F.struct(s.alias("slot"), *gap))
-    every = F.explode(F.concat(cells, gaps)).alias("__cell")
-    return ranged.select(*kept, every).select(*kept, "__cell.*")
+    filled = ranged.select(*kept, F.explode(slots).alias("slot"), CELLS, "__times")
+    place = F.array_position("__times", F.col("slot")) - 1
+    cell = F.get(CELLS, place.cast("int"))
+    return filled.select(*kept, "slot", *[cell.getField(name).alias(name) for name in values])
