@@ -33,6 +33,10 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 
 NEVER = 1 << 40
 
+#: Text bytes encoded at a time, and distinct pieces that a task remembers.
+BATCH_BYTES = 2 << 20
+REMEMBERED = 100_000
+
 #: Failing words of up to so many bytes are merged many at once, the others one by one.
 SHORT = 32
 
@@ -281,13 +285,14 @@ def valid(row: bytes) -> bytes:
 def load(path: str) -> tuple[Bpe, Encoder]:
     """One a worker and vocabulary."""
     model = Bpe(path)
-    return model, Encoder(model.encode_pieces)
+    return model, Encoder(model.encode_pieces, REMEMBERED)
 
 
 def _digests(path: str | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, encoder = load(path or vocabulary_path())
-        for batch in chunks(batches):
+        encoder.forget()  # what the worker's last task left
+        for batch in chunks(batches, limit=BATCH_BYTES):
             ids, bounds = encoder(*buffers(text_bytes(batch.column("text"))))
             row, edge = ids.astype("<u4").tobytes(), bounds.tolist()
             yield pa.record_batch(
@@ -298,6 +303,7 @@ def _digests(path: str | None):
                     "decoded_sha256": pa.array([hashlib.sha256(t).hexdigest() for t in model.decode(ids, bounds)], pa.string()),
                 }
             )
+        encoder.forget()
 
     return run
 

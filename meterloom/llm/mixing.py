@@ -149,11 +149,11 @@ def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...
 
 def repeat_documents(docs: DataFrame, mix: DataFrame) -> DataFrame:
     """The documents, each as many times as its copies; rows of one id, source and size get the most of theirs."""
-    copies = mix.groupBy(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size")).agg(F.max("copies").alias("__copies"))
-    copies = copies.filter("__copies > 0")
-    same = docs["doc_id"].eqNullSafe(F.col("__id")) & docs["source"].eqNullSafe(F.col("__source")) & (word_count(docs["text"]) == F.col("__size"))
-    joined = docs.join(copies, same)
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*(docs[c] for c in docs.columns))
+    copies = mix.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).filter("copies > 0")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # so that no name can clash
+    same = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & F.col("doc.source").eqNullSafe(F.col("source")) & (word_count(F.col("doc.text")) == F.col("size"))
+    joined = whole.join(copies, same).select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return joined.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def op4_mixing(spark, sf_dir) -> DataFrame:

@@ -6,13 +6,18 @@ Candidates come from two sides, and each is verified on both whole texts, once c
 1. SimHash links (simhash_dedup) of the same shingles, and neighbours under the keys of 2. They join most of a
    large group at a cost in proportion to it.
 2. Prefix keys: with shingles in any order that is the same for all texts, two texts of n and m shingles at
-   similarity s share one among the first n - ceil(s n) + 1 and m - ceil(s m) + 1. Pairs meet under each of these keys
-   unless step 1 has joined them already or their sizes exclude s. So no pair is lost. The order is that of hashed shingles
-   with those last that a sample of the texts shows to be common, so that a common passage gives few pairs.
+   similarity s share s/(1+s) (n+m) shingles, so the first that they share stands at most that many places before the end of each.
+   Pairs meet under each key that lies in the first n - ceil(s n) + 1 places, unless step 1 has joined them already, or sizes or
+   places exclude s: a key that stands too late can't be the first shared one. So no pair is lost. The order is that of hashed shingles
+   with those last that a sample of the texts shows to be common: pages of one template meet under its shingles only if those
+   stand early, and then they are similar.
+
+A key's rows are those that may be the shorter text (index rows, dealt out by INDEX_ROWS) and all its rows (probes, copied to each deal and
+streamed past), so a common key is spread over tasks, each of bounded memory. Keys of one text are dropped in the task that sorts them.
 
 Texts with the same shingles are one node. Of each component of links one row stays: that with the smallest id, rows without id last.
 
-Edge cases: null and empty texts have no shingle and are one node. Rows that repeat an id are rows of their own,
+Edge cases: null and empty texts have no shingle and are one node. Very long texts are shingled whole, each by one task. Rows that repeat an id are rows of their own,
 told apart by a row number. An empty table gives no rows. Columns other than doc_id and text are only passed on.
 """
 
@@ -28,6 +33,7 @@ from pyspark.sql import functions as F
 from meterloom.llm import simhash_dedup
 from meterloom.llm.common import Words, buffers, checked_broadcast, chunks, lower_ascii, parts, stored, text_bytes
 from meterloom.llm.components import components
+from meterloom.operators.spread import bounded_join
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -37,6 +43,15 @@ SAMPLE, COMMON = 8, 25
 MOST_COMMON = 200_000
 #: Counts by which pairs are ruled out before their texts are fetched.
 SLOTS = 64
+#: Tasks that keys known to be common are sorted by.
+SALTS = 64
+#: Rows that may be the shorter text, of one key and task.
+INDEX_ROWS = 20_000
+#: Text bytes handled at a time.
+BATCH_BYTES = 1 << 20
+
+#: A row under a key: salt (0 for keys not known to be common), number of shingles, place of the key.
+_PLACE, _SIZE = 28, (1 << 28) - 1
 
 _PRIME = np.uint64(0x100000001B3)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -93,7 +108,7 @@ def _possible(similarity: float):
 
 def _marked(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
+        for batch in chunks(batches, limit=BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), shingle)
             first = np.array([x.sum(dtype=np.uint64) for x in sets], np.uint64)
             second = np.array([_mixed(x).sum(dtype=np.uint64) for x in sets], np.uint64)
@@ -121,69 +136,118 @@ def prefix(codes: np.ndarray, common: np.ndarray, similarity: float) -> np.ndarr
     return np.concatenate([codes[~late], codes[late]])[: n - int(np.ceil(similarity * n - 1e-9)) + 1]
 
 
+def needed(n: np.ndarray, m: np.ndarray, similarity: float) -> np.ndarray:
+    """Shingles that texts of n and m must share, less a rounding error."""
+    return similarity / (1 + similarity) * (n + m) - 1e-6
+
+
 def _keys(shingle: int, similarity: float, shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, limit=1 << 20):
+        for batch in chunks(batches, limit=BATCH_BYTES):
             sets = shingle_sets(batch.column("text"), shingle)
             keys = [prefix(x, shared.value, similarity) for x in sets]
             sizes = [len(x) for x in keys]
             row = np.repeat(batch.column("row").to_numpy(), sizes)
             n = np.repeat(np.array([len(x) for x in sets], np.int64), sizes)
-            yield pa.record_batch({"key": pa.array(np.concatenate(keys).view(np.int64)), "row": pa.array(row), "n": pa.array(n)})
+            place = np.concatenate([np.arange(x) for x in sizes])
+            flat = np.concatenate(keys)
+            salt = np.where(np.isin(flat, shared.value), row % SALTS + 1, 0)
+            yield pa.record_batch({"key": pa.array(flat.view(np.int64)), "cell": pa.array(salt << 2 * _PLACE | n << _PLACE | place), "row": pa.array(row)})
+
+    return run
+
+
+def _fit(left: np.ndarray, right: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether texts that share a key first in these cells may be similar."""
+    n, m = left >> _PLACE & _SIZE, right >> _PLACE & _SIZE
+    return np.minimum(n - (left & _SIZE), m - (right & _SIZE)) >= needed(n, m, similarity)
+
+
+def _met(similarity: float):
+    """Rows sorted by key and cell: those of keys that others have too, with the row before and the first under the key if they may be similar."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = tuple(np.zeros(0, np.int64) for _ in range(3))
+        head, joined = (0, 0), False  # cell and row of the first under the last key; whether the held row has one before it
+
+        def out(key, cell, row, same, heads) -> pa.RecordBatch:
+            at = np.flatnonzero(same[:-1] | same[1:] | (cell >> 2 * _PLACE > 0))
+            before = np.maximum(at - 1, 0)
+            cols = {"key": pa.array(key[at]), "cell": pa.array(cell[at]), "row": pa.array(row[at])}
+            for name, cells, rows in (("before", cell[before], row[before]), ("head", heads[0][at], heads[1][at])):
+                good = same[at] & (rows != row[at]) & _fit(cells, cell[at], similarity)
+                cols[name] = pa.array(rows, mask=~good)
+            return pa.record_batch(cols)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key, cell, row = (np.concatenate([h, batch.column(c).to_numpy()]) for h, c in zip(held, ("key", "cell", "row"), strict=True))
+            group = cell >> 2 * _PLACE
+            same = np.concatenate([[joined], (key[1:] == key[:-1]) & (group[1:] == group[:-1])])
+            start = np.maximum.accumulate(np.where(same, -1, np.arange(len(key))))
+            heads = [np.where(start < 0, old, x[start]) for old, x in zip(head, (cell, row), strict=True)]
+            last = len(key) - 1
+            if last:
+                yield out(key[:last], cell[:last], row[:last], same, [x[:last] for x in heads])
+            held, head, joined = (key[last:], cell[last:], row[last:]), (heads[0][last], heads[1][last]), bool(same[last])
+        if len(held[0]):
+            yield out(*held, np.array([joined, False]), [np.array([x]) for x in head])
 
     return run
 
 
-def _meeting(similarity: float, every: bool):
-    """Pairs under a key, rows sorted by key and size: all of different components, or each row with the one before and the first."""
-
-    def close(row: np.ndarray, n: np.ndarray, root: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if not every:
-            at = np.arange(1, len(row))
-            left, right = np.concatenate([at - 1, np.zeros_like(at)]), np.concatenate([at, at])
-            good = (left != right) & (n[left] >= similarity * n[right] - 1e-9)
-            yield _pairs(row[left[good]], row[right[good]])
-            return
-        if (root == root[0]).all():
-            return
-        for i in range(len(row) - 1):
-            to = int(np.searchsorted(n, n[i] / similarity + 1e-6, side="right"))
-            right = i + 1 + np.flatnonzero(root[i + 1 : to] != root[i])
-            if len(right):
-                yield _pairs(np.full(len(right), row[i]), row[right])
+def _meeting(similarity: float):
+    """Pairs of different components under a key: its index rows come first and are held, its probes stream past."""
+
+    def pairs(index: list[np.ndarray], probes: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        cell, row, root = index
+        p_cell, p_row, p_root = probes
+        size, p_size = cell >> _PLACE & _SIZE, p_cell >> _PLACE & _SIZE
+        low, high = np.searchsorted(size, similarity * p_size - 1e-6), np.searchsorted(size, p_size, side="right")
+        total = np.cumsum(high - low)
+        at = 0
+        while at < len(p_cell):
+            to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + (1 << 20), side="right")))
+            count = (high - low)[at:to]
+            right = np.repeat(np.arange(at, to), count)
+            left = np.arange(len(right)) - np.repeat(np.cumsum(count) - count - low[at:to], count)
+            good = (root[left] != p_root[right]) & ((size[left] < p_size[right]) | (row[left] < p_row[right]))
+            left, right = left[good], right[good]
+            good = _fit(cell[left], p_cell[right], similarity)
+            yield row[left[good]], p_row[right[good]]
+            at = to
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, held = None, []
+        group, index, found, count = None, [], [], 0
 
-        def over() -> Iterator[pa.RecordBatch]:
-            if held:
-                yield from close(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        def flushed() -> pa.RecordBatch:
+            a, b = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+            both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)
+            return _pairs(both[0], both[1])
 
         for batch in batches:
-            keys, *cols = (batch.column(c).to_numpy() for c in ("key", "row", "n", "root"))
-            edge = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+            key, deal, probe, *cols = (batch.column(c).to_numpy() for c in ("key", "deal", "probe", "cell", "row", "root"))
+            new = (key[1:] != key[:-1]) | (deal[1:] != deal[:-1]) | (probe[1:] != probe[:-1])
+            edge = [0, *(np.flatnonzero(new) + 1).tolist(), len(key)]
             for a, b in zip(edge, edge[1:], strict=False):
                 if a == b:
                     continue
-                if keys[a] != key:
-                    yield from over()
-                    key, held = keys[a], []
-                held.append([c[a:b] for c in cols])
-        yield from over()
-
-    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Few large batches instead of many small ones."""
-        some, n = [], 0
-        for batch in run(batches):
-            some.append(batch)
-            n += batch.num_rows
-            if n > 50_000 or len(some) > 5000:
-                yield from pa.Table.from_batches(some).combine_chunks().to_batches()
-                some, n = [], 0
-        if some:
-            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
-
-    return packed
+                if (now := (key[a], deal[a])) != group:
+                    group, index = now, []
+                some = [c[a:b] for c in cols]
+                if not probe[a]:
+                    index = [np.concatenate(x) for x in zip(index, some, strict=True)] if index else some
+                elif index:
+                    for x in pairs(index, some):
+                        found.append(x)
+                        count += len(x[0])
+                        if count > 200_000 or len(found) > 5000:
+                            yield flushed()
+                            found, count = [], 0
+        yield flushed()
+
+    return run
 
 
 def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
@@ -219,7 +283,20 @@ def verified(pairs: DataFrame, marked: DataFrame, texts: DataFrame, shingle: int
     return joined.select("a", "b", "text_a", "text_b").mapInArrow(_similar(shingle, similarity), "a long, b long")
 
 
-def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
+def _meetings(labelled: DataFrame, similarity: float, index_rows: int) -> DataFrame:
+    """(a, b): pairs of rows of different components that a key lets be similar; labelled: key, cell, row, root."""
+    size, place = F.shiftright("cell", _PLACE), F.col("cell").bitwiseAND(F.lit(_SIZE))
+    shorter = size - place >= 2 * similarity / (1 + similarity) * size - 1e-6
+    keys = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count(F.when(shorter, 1)).alias("n"))
+    keys = stored(keys.filter("low != high and n > 0").select("key", F.ceil(F.col("n") / index_rows).alias("deals")), "near-common-keys")
+    open_rows = bounded_join(labelled, keys, ["key"], salt_by=["row"])
+    index = open_rows.filter(shorter).withColumn("deal", F.pmod(F.xxhash64("row"), "deals")).withColumn("probe", F.lit(0))
+    probes = open_rows.withColumn("deal", F.explode(F.sequence(F.lit(0).cast("long"), F.col("deals") - 1))).withColumn("probe", F.lit(1))
+    both = index.unionByName(probes).select("key", "deal", "probe", "cell", "row", "root")
+    return both.repartition(parts(both), "key", "deal").sortWithinPartitions("key", "deal", "probe", "cell").mapInArrow(_meeting(similarity), "a long, b long")
+
+
+def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, index_rows: int = INDEX_ROWS) -> DataFrame:
     """(row, id, root): a row per row of texts (row, id, text); root: a row number, the same in a component."""
     marked = stored(texts.mapInArrow(_marked(shingle), "row long, id long, s1 long, s2 long, fp long, n long, slots binary"), "near-marks")
     nodes = stored(marked.groupBy("s1", "s2").agg(F.min("row").alias("node")), "near-nodes")
@@ -233,24 +310,23 @@ def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SI
     rare = counts.filter(F.col("n") >= max(COMMON, total // MOST_COMMON)).select("key").toArrow()
     common = np.sort(rare.column("key").to_numpy().view(np.uint64))
     shared = texts.sparkSession.sparkContext.broadcast(common)
-    keys = stored(own.mapInArrow(_keys(shingle, similarity, shared), "key long, row long, n long"), "near-keys")
-    met = keys.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select(F.col("key").alias("k"))
-    keys = stored(keys.join(met, F.col("key") == F.col("k"), "left_semi"), "near-met")
-
-    def meet(labelled: DataFrame, every: bool) -> DataFrame:
-        by_key = labelled.repartition(parts(labelled), "key").sortWithinPartitions("key", "n", "row")
-        return by_key.mapInArrow(_meeting(similarity, every), "a long, b long")
+    keys = own.mapInArrow(_keys(shingle, similarity, shared), "key long, cell long, row long")
+    dealt = keys.repartition(parts(keys), "key", F.shiftright("cell", 2 * _PLACE)).sortWithinPartitions("key", "cell", "row")
+    met = stored(dealt.mapInArrow(_met(similarity), "key long, cell long, row long, before long, head long"), "near-met")
 
     heads = same.filter("row = node").groupBy("fp").agg(F.min("row").alias("head"))
     equal = same.filter("row = node").join(heads.select(F.col("fp").alias("f"), "head"), F.col("fp") == F.col("f")).select(F.col("head").alias("a"), F.col("row").alias("b"))
     links = simhash_dedup.links(marked)
     hx, hy = (heads.select(F.col("fp").alias(f"f{c}"), F.col("head").alias(f"h{c}")) for c in "xy")
     links = links.join(hx, F.col("x") == F.col("fx")).join(hy, F.col("y") == F.col("fy")).select(F.least("hx", "hy").alias("a"), F.greatest("hx", "hy").alias("b"))
-    first = equal.unionByName(links).unionByName(meet(keys.withColumn("root", F.lit(0).cast("long")), False))
+    first = equal.unionByName(links)
+    for other in ("before", "head"):
+        first = first.unionByName(met.filter(f"{other} is not null").select(F.least("row", other).alias("a"), F.greatest("row", other).alias("b")))
     found = stored(verified(first, marked, texts, shingle, similarity), "near-links")
     roots = components(found).withColumnRenamed("root", "r")
-    labelled = keys.join(roots, F.col("row") == F.col("node"), "left").select("key", "row", "n", F.coalesce("r", "row").alias("root"))
-    rest = stored(verified(meet(labelled, True), marked, texts, shingle, similarity), "near-links")
+    labelled = met.select("key", "cell", "row").join(roots, F.col("row") == F.col("node"), "left")
+    labelled = stored(labelled.select("key", F.col("cell").bitwiseAND(F.lit((1 << 2 * _PLACE) - 1)).alias("cell"), "row", F.coalesce("r", "row").alias("root")), "near-labelled")
+    rest = stored(verified(_meetings(labelled, similarity, index_rows), marked, texts, shingle, similarity), "near-links")
     if not rest.isEmpty():
         roots = components(found.unionByName(rest)).withColumnRenamed("root", "r")
     roots = roots.select(F.col("node").alias("m"), "r")
@@ -259,10 +335,13 @@ def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SI
 
 def keep_one(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
     """One row of each component, with all its columns: that with the smallest id, or the first where none has an id."""
-    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "near-docs")
-    texts = numbered.select(F.col("__row").alias("row"), F.col("doc_id").cast("long").alias("id"), "text")
+    whole = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc")  # so that no name can clash
+    numbered = stored(docs.select(whole, F.monotonically_increasing_id().alias("row")), "near-docs")
+    texts = numbered.select("row", F.col("doc.doc_id").cast("long").alias("id"), F.col("doc.text").alias("text"))
     found = near_copies(texts, shingle, similarity)
-    lost = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head"), F.count("*").alias("n")).filter("n > 1")
-    lost = found.join(lost.select(F.col("root").alias("r"), F.col("head.row").alias("kept")), (F.col("root") == F.col("r")) & (F.col("row") != F.col("kept")))
-    lost = checked_broadcast(stored(lost.select(F.col("row").alias("__lost")), "near-lost"))
-    return numbered.join(lost, F.col("__row") == F.col("__lost"), "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    heads = found.groupBy("root").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("head"), F.count("*").alias("n")).filter("n > 1")
+    heads = heads.select(F.col("root").alias("r"), F.col("head.row").alias("kept")).repartition(parts(found))  # so that Spark may split a large component
+    lost = found.join(heads, (F.col("root") == F.col("r")) & (F.col("row") != F.col("kept")))
+    lost = checked_broadcast(stored(lost.select(F.col("row").alias("lost")), "near-lost"))
+    kept = numbered.join(lost, F.col("row") == F.col("lost"), "left_anti")
+    return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))

@@ -52,9 +52,12 @@ def ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
 class Encoder:
     """Ids of whole texts by those of their pieces; encode gives the ids of each of a list of pieces."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]]):
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], remembered: int = REMEMBERED):
         """encode returns ids as unsigned 32-bit integers, little-endian."""
-        self.encode, self.known = encode, {}
+        self.encode, self.known, self.remembered = encode, {}, remembered
+
+    def forget(self) -> None:
+        self.known = {}
 
     def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, start of each text's ids and the end of the last)."""
@@ -63,7 +66,7 @@ class Encoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         coded = found.dictionary_encode()
         words = coded.dictionary.to_pylist()
-        if len(self.known) > REMEMBERED:
+        if len(self.known) > self.remembered:
             self.known = {}
         if new := [w for w in words if w not in self.known]:
             self.known.update(zip(new, self.encode(new), strict=True))

@@ -10,7 +10,7 @@ its host is strict, or if it breaks one by the factor `gross` on any host: a goo
 any host, as none goes for the host's sake alone.
 
 Edge cases: a null text has no words and fails the base rules, as an empty one does. Null hosts are one
-host. An empty table gives no rows. With one host, or hosts all alike, the prior is one document's
+host. Very long texts are counted whole, each by one task. An empty table gives no rows. With one host, or hosts all alike, the prior is one document's
 weight. Columns other than doc_id, text and the host's are not read.
 """
 
@@ -23,8 +23,9 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from meterloom.llm.common import Words, buffers, checked_broadcast, chunks, per_text, stored, text_bytes
+from meterloom.llm.common import WHITE, Words, buffers, checked_broadcast, chunks, per_text, stored, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -35,6 +36,9 @@ SOFT = {"symbols": 0.5, "dup_lines": 0.3, "short": 2.0, "long": 15.0}
 STRICT_RATE = 0.5
 GROSS = 3.0
 
+#: Text bytes counted at a time: some 30 bytes of memory each.
+BATCH_BYTES = 1 << 20
+
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -45,10 +49,7 @@ def count_rules(texts: pa.Array) -> dict[str, np.ndarray]:
     words = Words(data, offsets)
     table = np.zeros(256, bool)
     table[list(SYMBOLS)] = True
-    inside = np.zeros(len(data) + 1, np.int64)
-    np.add.at(inside, words.start, 1)
-    np.add.at(inside, words.end, -1)
-    points = (np.cumsum(inside[:-1]) > 0) & ((data & 0xC0) != 0x80)
+    points = ~WHITE[data] & ((data & 0xC0) != 0x80)
     lines, dups = np.zeros(len(bodies), np.int64), np.zeros(len(bodies), np.int64)
     for i, body in enumerate(bodies.to_pylist()):
         found = [x for x in body.split(b"\n") if x and not x.isspace()]
@@ -81,7 +82,7 @@ def _repeated(words: Words, n_docs: int) -> np.ndarray:
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in chunks(batches):
+    for batch in chunks(batches, limit=BATCH_BYTES):
         found = count_rules(batch.column("text"))
         yield pa.record_batch(
             {"doc_id": batch.column("doc_id").cast(pa.int64()), "host": batch.column("host")} | {k: pa.array(v, pa.int64()) for k, v in found.items()}
@@ -146,26 +147,26 @@ def quality_rules(docs: DataFrame, host: str = "source", limits: dict[str, float
 def keep_passing(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
-    A document's own counts decide but for its host's verdict, so they are made again beside the rows
-    instead of joining verdicts by id: no text is shuffled, and rows that repeat an id are told apart."""
-    import pyspark.sql.types as T
-
-    narrow = docs.select("doc_id", "text", F.col(f"`{host}`").cast("string").alias("host"))
-    schema = "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS)
-    counted = narrow.mapInArrow(_counted, schema).withColumn("fails", breaks(SOFT, 1.0) | base_fails()).select("host", "fails")
-    strict = host_verdicts(stored(counted, "quality-fails"), STRICT_RATE).filter("strict").select(F.col("host").alias("__host"), "strict")
+    Texts are counted once: rows are stored as a struct, so that no column's name can clash, null where the row's own counts reject
+    it, beside host and flags. Hosts are judged by the flags; of the rows only those that break a soft rule meet their host's verdict."""
+    schema = T.StructType([T.StructField("doc", docs.schema), T.StructField("host", T.StringType()), *(T.StructField(c, T.LongType()) for c in COUNTS)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches):
-            found = count_rules(batch.column("text"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(found[c], pa.int64()) for c in COUNTS)], names=[*batch.schema.names, *(f"__{c}" for c in COUNTS)])
-
-    beside = docs.mapInArrow(run, T.StructType([*docs.schema.fields, *(T.StructField(f"__{c}", T.LongType()) for c in COUNTS)]))
-    joined = beside.join(checked_broadcast(strict, "__host"), F.col(f"`{host}`").cast("string").eqNullSafe(F.col("__host")), "left")
-    counts = F.struct(*(F.col(f"__{c}").alias(c) for c in COUNTS)).alias("c")
-    flags = joined.select(*(joined[f"`{c}`"] for c in docs.columns), F.coalesce("strict", F.lit(False)).alias("__strict"), counts)
-    base, fails, gross = base_fails("c."), breaks(SOFT, 1.0, "c."), breaks(SOFT, GROSS, "c.")
-    return flags.filter(~(base | gross | (fails & F.col("__strict")))).select(*(f"`{c}`" for c in docs.columns))
+        for batch in batches:
+            beside = pa.RecordBatch.from_arrays([*batch.columns, batch.column("doc").field("text")], names=[*batch.schema.names, "text"])
+            for part in chunks(iter([beside]), limit=BATCH_BYTES):
+                found = count_rules(part.column("text"))
+                yield pa.RecordBatch.from_arrays([*part.columns[:2], *(pa.array(found[c], pa.int64()) for c in COUNTS)], names=["doc", "host", *COUNTS])
+
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(f"`{host}`").cast("string").alias("host"))
+    base, fails, gross = base_fails(), breaks(SOFT, 1.0), breaks(SOFT, GROSS)
+    flags = whole.mapInArrow(run, schema).select(F.when(~(base | gross), F.col("doc")).alias("doc"), "host", (base | fails).alias("fails"))
+    flagged = stored(flags, "quality-flags")
+    strict = host_verdicts(flagged.select("host", "fails"), STRICT_RATE).filter("strict").select(F.col("host").alias("h"))
+    left = flagged.filter("doc is not null")
+    judged = left.filter("fails").join(checked_broadcast(strict, "h"), F.col("host").eqNullSafe(F.col("h")), "left_anti")
+    kept = left.filter("not fails").select("doc").unionByName(judged.select("doc"))
+    return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def op2_quality_rules(spark, sf_dir) -> DataFrame:

@@ -484,6 +484,8 @@ def test_stages_keep_columns_and_take_effect(docs, none, spark):
 
 def test_queries_run_over_given_tables(spark, base):
     for name, query in queries.QUERIES.items():
+        if name.startswith(("op11_", "op12_", "op13_")):
+            continue  # compared row by row in tests of their own
         rows = query(spark, base)
         assert rows.count() == spark.read.parquet(f"{base}/documents.parquet").count(), name
 
