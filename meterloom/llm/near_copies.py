@@ -41,8 +41,8 @@ SIMILARITY = 0.8
 SAMPLE, COMMON = 8, 25
 #: Bound of the list of common shingles.
 MOST_COMMON = 200_000
-#: Counts by which pairs are ruled out before their texts are fetched.
-SLOTS = 64
+#: Counts by which pairs are ruled out before their texts are fetched: few for all pairs, then more for those left.
+SLOTS, FINE = 64, 512
 #: Tasks that keys known to be common are sorted by.
 SALTS = 64
 #: Rows that may be the shorter text, of one key and task.
@@ -88,17 +88,17 @@ def shingle_sets(texts: pa.Array, shingle: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
-def slots(codes: np.ndarray) -> bytes:
-    """How many shingles fall into each of SLOTS, 255 at most: two texts' counts differ by no more than their shingles do."""
-    return np.minimum(np.bincount((codes >> np.uint64(40)).astype(np.int64) % SLOTS, minlength=SLOTS), 255).astype(np.uint8).tobytes()
+def slots(codes: np.ndarray, width: int = SLOTS) -> bytes:
+    """How many shingles fall into each of width slots, 255 at most: two texts' counts differ by no more than their shingles do."""
+    return np.minimum(np.bincount((codes >> np.uint64(40)).astype(np.int64) % width, minlength=width), 255).astype(np.uint8).tobytes()
 
 
-def _possible(similarity: float):
+def _possible(similarity: float, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, b = (np.frombuffer(b"".join(batch.column(f"slots_{c}").to_pylist()), np.uint8).reshape(-1, SLOTS).astype(np.int16) for c in "ab")
+            a, b = (np.frombuffer(b"".join(batch.column(f"slots_{c}").to_pylist()), np.uint8).reshape(-1, width).astype(np.int16) for c in "ab")
             total = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             good = np.abs(a - b).sum(axis=1) <= total * (1 - similarity) / (1 + similarity) + 1e-6
             yield batch.select(["a", "b"]).filter(pa.array(good))
@@ -115,7 +115,7 @@ def _marked(shingle: int):
             prints = simhash_dedup.fingerprints(batch.column("text"), shingle)
             cols = {k: pa.array(v.view(np.int64)) for k, v in (("s1", first), ("s2", second), ("fp", prints))}
             sizes = pa.array([len(x) for x in sets], pa.int64())
-            yield pa.record_batch({"row": batch.column("row"), "id": batch.column("id")} | cols | {"n": sizes, "slots": pa.array([slots(x) for x in sets], pa.binary())})
+            yield pa.record_batch({"row": batch.column("row"), "id": batch.column("id")} | cols | {"n": sizes, "slots": pa.array([slots(x) for x in sets], pa.binary()), "fine": pa.array([slots(x, FINE) for x in sets], pa.binary())})
 
     return run
 
@@ -271,11 +271,12 @@ def _similar(shingle: int, similarity: float):
 def verified(pairs: DataFrame, marked: DataFrame, texts: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """The pairs (a, b) of rows whose whole texts are similar enough; only texts of pairs that their counts allow are moved."""
     joined = pairs.filter("a < b").distinct()
-    for side in ("a", "b"):
-        marks = marked.select(F.col("row").alias(f"{side}_row"), F.col("n").alias(f"n_{side}"), F.col("slots").alias(f"slots_{side}"))
-        joined = joined.join(marks, F.col(side) == F.col(f"{side}_row"))
-    joined = joined.select("a", "b", "n_a", "n_b", "slots_a", "slots_b").mapInArrow(_possible(similarity), "a long, b long")
-    joined = stored(joined, "near-possible")
+    for column, width in (("slots", SLOTS), ("fine", FINE)):
+        for side in ("a", "b"):
+            marks = marked.select(F.col("row").alias(f"{side}_row"), F.col("n").alias(f"n_{side}"), F.col(column).alias(f"slots_{side}"))
+            joined = joined.join(marks, F.col(side) == F.col(f"{side}_row"))
+        joined = joined.select("a", "b", "n_a", "n_b", "slots_a", "slots_b").mapInArrow(_possible(similarity, width), "a long, b long")
+        joined = stored(joined, "near-possible")
     rows = stored(joined.select(F.col("a").alias("r")).union(joined.select("b")).distinct(), "near-rows")
     texts = texts.join(checked_broadcast(rows), F.col("row") == F.col("r"), "left_semi")
     for side in ("a", "b"):
@@ -298,7 +299,7 @@ def _meetings(labelled: DataFrame, similarity: float, index_rows: int) -> DataFr
 
 def near_copies(texts: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, index_rows: int = INDEX_ROWS) -> DataFrame:
     """(row, id, root): a row per row of texts (row, id, text); root: a row number, the same in a component."""
-    marked = stored(texts.mapInArrow(_marked(shingle), "row long, id long, s1 long, s2 long, fp long, n long, slots binary"), "near-marks")
+    marked = stored(texts.mapInArrow(_marked(shingle), "row long, id long, s1 long, s2 long, fp long, n long, slots binary, fine binary"), "near-marks")
     nodes = stored(marked.groupBy("s1", "s2").agg(F.min("row").alias("node")), "near-nodes")
     same = marked.select("row", "id", "s1", "s2", "fp").join(nodes.select(F.col("s1").alias("t1"), F.col("s2").alias("t2"), "node"), (F.col("s1") == F.col("t1")) & (F.col("s2") == F.col("t2")))
     same = stored(same.select("row", "id", "node", "fp"), "near-same")

@@ -147,9 +147,10 @@ def quality_rules(docs: DataFrame, host: str = "source", limits: dict[str, float
 def keep_passing(docs: DataFrame, host: str = "source") -> DataFrame:
     """The documents that the rules keep, with all their columns.
 
-    Texts are counted once: rows are stored as a struct, so that no column's name can clash, null where the row's own counts reject
-    it, beside host and flags. Hosts are judged by the flags; of the rows only those that break a soft rule meet their host's verdict."""
-    schema = T.StructType([T.StructField("doc", docs.schema), T.StructField("host", T.StringType()), *(T.StructField(c, T.LongType()) for c in COUNTS)])
+    A first pass stores host and flags, by which hosts are judged; a second counts again beside the rows, so that no text is stored
+    or shuffled and rows that repeat an id are told apart. Rows travel as a struct, so no column's name can clash; only those that
+    break a soft rule meet their host's verdict."""
+    fields = [T.StructField("doc", docs.schema), T.StructField("host", T.StringType()), *(T.StructField(c, T.LongType()) for c in COUNTS)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -158,15 +159,15 @@ def keep_passing(docs: DataFrame, host: str = "source") -> DataFrame:
                 found = count_rules(part.column("text"))
                 yield pa.RecordBatch.from_arrays([*part.columns[:2], *(pa.array(found[c], pa.int64()) for c in COUNTS)], names=["doc", "host", *COUNTS])
 
-    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.col(f"`{host}`").cast("string").alias("host"))
-    base, fails, gross = base_fails(), breaks(SOFT, 1.0), breaks(SOFT, GROSS)
-    flags = whole.mapInArrow(run, schema).select(F.when(~(base | gross), F.col("doc")).alias("doc"), "host", (base | fails).alias("fails"))
-    flagged = stored(flags, "quality-flags")
-    strict = host_verdicts(flagged.select("host", "fails"), STRICT_RATE).filter("strict").select(F.col("host").alias("h"))
-    left = flagged.filter("doc is not null")
-    judged = left.filter("fails").join(checked_broadcast(strict, "h"), F.col("host").eqNullSafe(F.col("h")), "left_anti")
-    kept = left.filter("not fails").select("doc").unionByName(judged.select("doc"))
-    return kept.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+    name = F.col(f"`{host}`").cast("string").alias("host")
+    narrow = docs.select("doc_id", "text", name).mapInArrow(_counted, "doc_id long, host string, " + ", ".join(f"{c} long" for c in COUNTS))
+    flagged = stored(narrow.select("host", (breaks(SOFT, 1.0) | base_fails()).alias("fails")), "quality-fails")
+    strict = checked_broadcast(host_verdicts(flagged, STRICT_RATE).filter("strict").select(F.col("host").alias("h"), F.lit(True).alias("strict")), "h")
+    whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), name).mapInArrow(run, T.StructType(fields))
+    own = base_fails() | breaks(SOFT, GROSS)
+    left = whole.filter(~own).select("doc", F.when(breaks(SOFT, 1.0), F.col("host")).alias("host"), breaks(SOFT, 1.0).alias("soft"))
+    judged = left.join(strict, F.col("soft") & F.col("host").eqNullSafe(F.col("h")), "left").filter("not soft or strict is null")
+    return judged.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def op2_quality_rules(spark, sf_dir) -> DataFrame:
