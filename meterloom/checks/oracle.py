@@ -405,6 +405,8 @@ _QUERIES = {
 
 _QUERIES["interval_join_equipment_shuffled"] = _QUERIES["interval_join_equipment"]
 _QUERIES["restrict_points_window_shuffled"] = _QUERIES["restrict_points_window_iv"]
+_QUERIES["decode_om_cells_batches"] = _QUERIES["decode_om_cells"]
+_QUERIES["decode_iv_cells_batches"] = _QUERIES["decode_iv_cells"]
 _QUERIES["restrict_points_window_laid_out"] = _QUERIES["restrict_points_window_iv"]
 _QUERIES["restrict_own_window_laid_out"] = _QUERIES["restrict_own_window"]
 _QUERIES["restrict_daily_template_laid_out"] = _QUERIES["restrict_daily_template"]

@@ -27,7 +27,7 @@ from meterloom.operators.restrict import (
 )
 from meterloom.plans import curves, extract, inventory
 from meterloom.schemas import DAY_COLUMN, ENERGY_COLUMNS, THREE_PHASE_COLUMNS
-from meterloom.sources.cells import decode_cells, gather_cells
+from meterloom.sources.cells import decode_batches, decode_cells, gather_cells
 
 START = argument_ms("202401050000")
 STOP = argument_ms("202401200000")
@@ -429,6 +429,17 @@ def decode_iv_cells_null(f):
     return decode_cells(gather_cells(f.cells("iv"), "iv"), "iv", strict=False)
 
 
+@check
+def decode_om_cells_batches(f):
+    return decode_batches(gather_cells(f.cells("om"), "om"), "om", strict=True)
+
+
+@check
+def decode_iv_cells_batches(f):
+    rows = gather_cells(f.cells("iv"), "iv")
+    return decode_batches(rows, "iv", strict=False, missing="sentinel")
+
+
 @check
 def decode_event_cells(f):
     return decode_cells(gather_cells(f.cells("event"), "event"), "event", strict=True)

@@ -1,9 +1,12 @@
-"""Readings stored as binary cells, decoded with column expressions only.
+"""Readings stored as binary cells, decoded by whole Arrow batches or with column expressions.
 
 A store row arrives either wide (one binary column per cell name, no shuffle needed) or long
 (``rowkey, qualifier, value``), which :func:`gather_cells` turns into the wide form.
 """
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,20 +100,63 @@ def decode_cells(
     return rows.select(*picked)
 
 
+def decode_batches(rows: DataFrame, kind: str, strict: bool, missing: str = "null") -> DataFrame:
+    """:func:`decode_cells` of all fields by whole Arrow batches: a column's cells are one buffer.
+
+    The faster of the two where every field is wanted; expressions keep the plan in one stage and
+    decode only the columns asked for.
+    """
+    if missing not in ("null", "sentinel"):
+        raise ValueError(f"missing must be 'null' or 'sentinel', not {missing!r}")
+    fields = SCHEMAS[kind]
+    names = {field.name: QUALIFIERS[kind][field.name] for field in fields if field.name != "rowkey"}
+
+    def decoded(cells: pa.Array, field: T.StructField) -> pa.Array:
+        name = names[field.name]
+        if field.dataType == T.StringType():
+            texts = cells.cast(pa.string())
+            return texts.fill_null("") if missing == "sentinel" and not strict else texts
+        _, size, sentinel = _DECODERS[field.dataType]
+        held = cells.drop_null()
+        if strict and len(held) < len(cells):
+            raise ValueError(f"cell {name} of a {kind} record is absent")
+        if len(held) and not pc.all(pc.equal(pc.binary_length(held), size)).as_py():
+            raise ValueError(f"cell {name} of a {kind} record does not hold {size} bytes")
+        code = "f8" if field.dataType == T.DoubleType() else f"i{size}"
+        start = np.frombuffer(held.buffers()[1], np.int32)[held.offset] if len(held) else 0
+        values = np.frombuffer(held.buffers()[2] or b"", f">{code}", len(held), int(start)).astype(f"<{code}")
+        if len(held) == len(cells):
+            return pa.array(values)
+        known = cells.is_valid().to_numpy(zero_copy_only=False)
+        every = np.full(len(cells), sentinel, f"<{code}")
+        every[known] = values
+        return pa.array(every, mask=None if missing == "sentinel" else ~known)
+
+    def run(batches):
+        for batch in batches:
+            found = [batch.column("rowkey")]
+            found += [decoded(batch.column(names[f.name]), f) for f in fields if f.name != "rowkey"]
+            yield pa.RecordBatch.from_arrays(found, names=["rowkey", *names])
+
+    narrow = rows.select(clean_row_key(F.col("rowkey")).alias("rowkey"), *names.values())
+    made = T.StructType([fields["rowkey"], *(fields[name] for name in names)])
+    return narrow.mapInArrow(run, made).select(*fields.names)
+
+
 def read_cells(spark: SparkSession, path: str, kind: str, missing: str = "null") -> DataFrame:
     """Readings from a Parquet table of cells, wide or long; only instantaneous records may lack some."""
     cells = spark.read.parquet(path)
     rows = gather_cells(cells, kind) if "qualifier" in cells.columns else cells
-    return decode_cells(rows, kind, strict=kind != "iv", missing=missing)
+    return decode_batches(rows, kind, strict=kind != "iv", missing=missing)
 
 
 def decode_om(rows: DataFrame) -> DataFrame:
-    return decode_cells(rows, "om", strict=True)
+    return decode_batches(rows, "om", strict=True)
 
 
 def decode_iv(rows: DataFrame, missing: str = "null") -> DataFrame:
-    return decode_cells(rows, "iv", strict=False, missing=missing)
+    return decode_batches(rows, "iv", strict=False, missing=missing)
 
 
 def decode_event(rows: DataFrame) -> DataFrame:
-    return decode_cells(rows, "event", strict=True)
+    return decode_batches(rows, "event", strict=True)

@@ -1,6 +1,7 @@
 """Laid-out reading tables, repeated runs and rejected dates."""
 
 import os
+import struct
 
 import pytest
 from pyspark.sql import functions as F
@@ -21,6 +22,7 @@ from meterloom.operators.restrict import (
 )
 from meterloom.schemas import DAY_COLUMN, IV, THREE_PHASE_COLUMNS
 from meterloom.sinks.files import write_csv, write_parquet
+from meterloom.sources.cells import decode_batches, decode_cells, gather_cells
 from meterloom.sources.layout import open_bucketed, save_bucketed, with_day, write_by_day
 from meterloom.sources.tables import read_readings
 from tests.conftest import rows
@@ -173,3 +175,24 @@ def test_unreadable_dates_are_counted_and_listed(spark, stored, tmp_path, capsys
     jobs.main(["energy-before-inspection", *paths, "--out", f"{tmp_path}/b"], spark)
     assert f"{wrong} inspections without a readable date" in capsys.readouterr().out
     assert spark.read.csv(f"{tmp_path}/rejects", header=True).count() == wrong > 0
+
+
+def test_cells_decoded_by_batches_equal_expressions(spark, base, tmp_path):
+    """From stored cells, with absent cells, special doubles and clashing lengths."""
+    f = Fixtures(spark, base)
+    for kind, strict in (("iv", False), ("om", True), ("event", True)):
+        gather_cells(f.cells(kind), kind).write.parquet(f"{tmp_path}/{kind}")
+        cells = spark.read.parquet(f"{tmp_path}/{kind}")
+        for missing in ("null", "sentinel"):
+            batches = decode_batches(cells, kind, strict, missing)
+            assert batches.schema.names == decode_cells(cells, kind, strict, missing).schema.names
+            assert rows(batches) == rows(decode_cells(cells, kind, strict, missing))
+    iv = spark.read.parquet(f"{tmp_path}/iv")
+    doubles = [0.0, -0.0, 5e-324, -1.5, 1.7e308, float("inf"), float("-inf")]
+    for double in doubles:
+        raw = F.unhex(F.lit(struct.pack(">d", double).hex()))
+        assert decode_batches(iv.withColumn("V", raw).limit(3), "iv", False).select("value").distinct().collect() == [(double,)]
+    for broken in (F.unhex(F.lit("0102")), F.lit(None).cast("binary")):
+        with pytest.raises(Exception, match="cell V of a om record"):
+            decode_batches(spark.read.parquet(f"{tmp_path}/om").withColumn("V", broken), "om", True).collect()
+    assert decode_batches(iv.limit(0), "iv", False).count() == 0
