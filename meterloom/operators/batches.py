@@ -9,44 +9,56 @@ RANGE_ROWS = 1_000_000
 FEWEST_RANGES = 8
 
 
+def dealt(rows: DataFrame, order: list[str], ranges: int) -> DataFrame:
+    """Rows shuffled into ranges of all their columns, by Spark's own sample; adds ``__range``.
+
+    Rows that share the first column are spread over as many ranges as they need.
+    """
+    return rows.repartitionByRange(ranges, *order).withColumn("__range", F.spark_partition_id())
+
+
 def batch_numbers(
     df: DataFrame, order_by: str, size: int, batch: int | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Number rows by ``order_by`` (then all other columns) and cut them into batches of ``size``.
 
     Adds ``batch_number``, from 1; with ``batch`` only that batch is produced.  A global row
-    number would run in one task, so equal rows are first collapsed to a count, the order column
-    is cut into ranges, rows are numbered inside their range, and the totals of earlier ranges
-    are added.  There are as many ranges as keep about ``RANGE_ROWS`` rows in each.
+    number would run in one task, so equal rows are first collapsed to a count, shuffled into
+    sampled ranges of the whole order, numbered inside their range, and the totals of earlier
+    ranges are added.  There are as many ranges as keep about ``RANGE_ROWS`` rows in each.
+
+    Totals and rows read one shuffle.  Were it made twice, with other samples, ranges would
+    disagree; each row's range is compared with the range its total is of, and the query fails then.
     """
     if ranges is None:
         ranges = FEWEST_RANGES + df.count() // RANGE_ROWS
     columns = df.columns
-    numeric = F.col(order_by).cast("double")
-    cuts = df.select(numeric.alias("key")).approxQuantile(
-        "key", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges)
-    )
-    edges = F.array(*[F.lit(edge) for edge in sorted(set(cuts))]) if cuts else None
-    range_of = F.size(F.filter(edges, lambda edge: edge < numeric)) if cuts else F.lit(0)
-
+    order = [order_by] + [name for name in columns if name != order_by]
     rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("__copies"))
-    ranged = rows.withColumn("__range", range_of)
+    ranged = dealt(rows, order, ranges).withColumn("__mark", F.xxhash64(*order))
+    inside = Window.partitionBy("__range")
     earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         ranged.groupBy("__range")
-        .agg(F.sum("__copies").alias("__total"))
-        .select("__range", F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset"))
+        .agg(F.sum("__copies").alias("__total"), F.bit_xor("__mark").alias("__marks"))
+        .select(
+            "__range",
+            "__total",
+            "__marks",
+            F.coalesce(F.sum("__total").over(earlier), F.lit(0)).alias("__offset"),
+        )
     )
-    order = [order_by] + [name for name in columns if name != order_by]
-    running = (
-        Window.partitionBy("__range")
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = inside.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    same = (F.col("__total") == F.col("__rows")) & (F.col("__marks") == F.col("__seen"))
+    agreed = F.when(same, F.col("__offset")).otherwise(
+        F.raise_error(F.lit("ranges differ between the totals and the rows")).cast("bigint")
     )
     placed = (
         ranged.withColumn("__upto", F.sum("__copies").over(running))
-        .join(F.broadcast(offsets), "__range")
-        .withColumn("__last", F.col("__offset") + F.col("__upto"))
+        .withColumn("__rows", F.sum("__copies").over(inside))
+        .withColumn("__seen", F.bit_xor("__mark").over(inside))
+        .join(F.broadcast(offsets), "__range", "left")
+        .withColumn("__last", agreed + F.col("__upto"))
         .withColumn("__first", F.col("__last") - F.col("__copies") + 1)
     )
     covered = F.sequence(

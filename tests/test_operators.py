@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from meterloom.functions.timeslots import DAY_MS, STEP_MS
 from meterloom.operators import spread
-from meterloom.operators.batches import batch_numbers
+from meterloom.operators.batches import batch_numbers, dealt
 from meterloom.operators.enrich import interval_join, lookup, validity
 from meterloom.operators.grid import (
     clipped_grid,
@@ -356,5 +356,30 @@ def test_batches_are_consecutive_in_order(spark, ranges, size):
     assert rows(second) == sorted((r for r in expected if r[2] == 2), key=repr)
 
 
+def test_batches_with_nulls_and_rows_of_one_point(spark):
+    data = [(7, i) for i in range(3000)] + [(i, None) for i in range(1500)] + [(None, i) for i in range(1500)]
+    df = spark.createDataFrame(data, "id bigint, place bigint")
+    first = sorted(data, key=lambda r: tuple((v is not None, v or 0) for v in r))
+    expected = [(*row, i // 100 + 1) for i, row in enumerate(first)]
+    assert rows(batch_numbers(df, "id", 100)) == sorted(expected, key=repr)
+
+
+def test_a_point_with_half_of_the_list_is_spread(spark):
+    df = spark.range(8000).selectExpr("if(id < 4000, 7, id) id", "id place")
+    counts = dealt(df, ["id", "place"], 8).groupBy("__range").count().collect()
+    assert len(counts) == 8 and max(r["count"] for r in counts) < 2000
+    of_one = dealt(df, ["id", "place"], 8).filter("id = 7").select("__range").distinct().count()
+    assert of_one >= 4
+
+
+def test_batches_shuffle_into_ranges_once(spark):
+    found = batch_numbers(spark.range(1000).selectExpr("id % 100 id", "id place"), "id", 10)
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("Initial Plan")[0]
+    assert "ReusedExchange" in final and final.count("rangepartitioning(") == 2  # one is named where it is reused
+    assert "approx" not in plan
+
+
 def test_batches_of_nothing(spark):
     assert batch_numbers(spark.createDataFrame([], "id bigint"), "id", 5).count() == 0
