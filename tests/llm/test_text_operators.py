@@ -444,6 +444,37 @@ def test_substrings(docs, monkeypatch, spark):
     assert all(sum(b - a for a, b in zip(r.span_starts, r.span_ends, strict=True)) == r.n_removed and len(r.span_starts) == r.n_spans for r in found)
 
 
+def test_substrings_in_split_buckets(spark):
+    """A line that all texts share in surroundings of their own, copies, and a text of one letter; buckets of few suffixes."""
+    line = LONG[9000:9150]
+    texts = [LONG[i * 300 : i * 300 + 150] + line + LONG[i * 300 + 150 : i * 300 + 300] for i in range(60)]
+    texts += [texts[3], texts[7] + texts[8], "z" * 3000, None, "", texts[5][:-60] + "!", LONG[:5000]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    want = sorted(((i, *r) for i, r in enumerate(removed(texts))), key=repr)
+    names = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    for bucket_bytes in (300, 20_000):
+        assert table(substring_dedup.repeated_substrings(frame, bucket_bytes=bucket_bytes), *names) == want
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(0, 3), min_size=12, max_size=200), st.integers(1, 12), st.integers(1, 4))
+def test_strings_are_compared_by_bytes(letters, length, classes):
+    """Whatever collides: hashes of a few values, which equal strings share."""
+    data = np.array(letters, np.uint8)
+    rows = [bytes(letters[i : i + length]) for i in range(len(letters) - length + 1)]
+    places = np.array([i for i in range(len(rows)) if i % 7 != 3])
+    hashes = np.array([zlib.crc32(rows[p]) % classes for p in places.tolist()], np.uint64)
+    count = Counter(rows[p] for p in places.tolist())
+    assert substring_dedup.equal_strings(data, places, hashes, length).tolist() == [count[rows[p]] > 1 for p in places.tolist()]
+
+
+def test_least_hashes():
+    data = np.frombuffer(LONG[:3000].encode(), np.uint8)
+    least = substring_dedup.minima(data, 200)
+    grams = substring_dedup.window_hashes(data, substring_dedup.GRAM) >> np.uint64(32)
+    assert least.tolist() == [int(grams[i : i + 200 - substring_dedup.GRAM + 1].min()) for i in range(len(data) - 199)]
+
+
 def test_cover_is_perfect():
     cover, period = substring_dedup.COVER, substring_dedup.V
     assert len({(a - b) % period for a in cover for b in cover}) == period
