@@ -1,22 +1,24 @@
 """Token ids in binary files with Elias-Fano document boundaries.
 
-Documents are dealt into ranges of ascending doc_id; each range becomes one block of a file: the
+Documents are dealt into ranges of ascending doc_id; each range becomes one file of blocks: the
 concatenated ids, 2 bytes each where the vocabulary allows, and the documents' starts as an Elias-Fano
 code: low bits in a packed array, high bits in unary, with a sampled select structure. The i-th start is
-found from the code alone, in about 2 + log2(tokens/document) bits a document. A manifest with a row
-per block holds where the block begins among all ids, so a file is never moved or rewritten.
+found from the code alone, in about 2 + log2(tokens/document) bits a document, and reading the files finds every start so.
+The documents' ids ascend in a block and are a second code, counted from the first. A manifest with a row
+per file holds where the file begins among all ids, so a file is never moved or rewritten.
 
-Block layout, little-endian: magic "EFTK", version, id width, low bits (1 byte each), documents n,
-tokens t, words of high bits h, select samples s (8 bytes each); then n ids of documents (8 bytes each)
-with a bitmap of those that are null, low bits packed to 8-byte words, h words of high bits, s samples
-(position of every SELECT-th one bit, 8 bytes each), and t token ids. Each document ends with the end id.
+Block layout, little-endian: magic "EFTK", version, id width, low bits of starts and of doc ids (1 byte each);
+documents n, documents without id z (they come first), first doc id, tokens t (8 bytes each); then for starts and doc ids words of high bits
+h and select samples s (8 bytes each); then the low bits packed to 8-byte words, h words of high bits, s samples
+(position of every SELECT-th one bit, 8 bytes each) of the starts, the same of the n - z doc ids, and t token ids. Each document
+ends with the end id.
 
 Files are written and committed by Spark's own text writer, one block a row, so a lost task leaves no
-partial file; the line end it adds after a block is ignored when reading.
+partial file; the line end it adds after a block is ignored when reading. Files follow by the number in their names.
 
-Edge cases: a null or empty text is the end id alone. Rows of one doc_id follow in the order of their
-texts; null ids come first. An empty table gives no block and no rows. Columns other than doc_id and text are
-not read.
+Edge cases: a null or empty text is the end id alone; null ids come first. Rows of one doc_id follow in the order of a hash of their
+texts, as a range may end between them. A very long text is a block of its own. An empty table gives no
+block and no rows. Columns other than doc_id and text are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meterloom.llm.bpe import vocabulary_path
-from meterloom.llm.common import buffers, chunks, columns, scratch, text_bytes
+from meterloom.llm.common import buffers, checked_broadcast, chunks, columns, scratch, stored, text_bytes
 from meterloom.llm.pieces import Encoder
 
 END_ID = 2
@@ -39,6 +41,8 @@ MAGIC = b"EFTK"
 SELECT = 64
 #: Text bytes of a file, about.
 FILE_BYTES = 16 << 20
+#: Files whose sizes one task of the manifest sums.
+GROUP = 1000
 #: Text bytes of a block.
 BLOCK_BYTES = 4 << 20
 
@@ -101,35 +105,46 @@ def _words(bits: np.ndarray) -> np.ndarray:
     return np.packbits(whole, bitorder="little").view("<u8")
 
 
-def pack_block(doc_ids: list[int | None], ids: np.ndarray, starts: np.ndarray, width: int) -> bytes:
-    code = EliasFano.build(starts)
-    head = MAGIC + bytes([1, width, code.low_bits, 0]) + np.array([len(doc_ids), len(ids), len(code.high), len(code.samples)], "<i8").tobytes()
-    docs = np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes()
-    nulls = np.packbits(np.array([d is None for d in doc_ids], np.uint8), bitorder="little").tobytes()
-    body = code.low.tobytes() + code.high.tobytes() + code.samples.astype("<i8").tobytes()
-    return head + docs + nulls + body + ids.astype(f"<u{width}").tobytes()
+def pack_block(doc_ids: np.ndarray, nulls: int, ids: np.ndarray, starts: np.ndarray, width: int) -> bytes:
+    """doc_ids: those of all documents but the first nulls ones, ascending."""
+    base = int(doc_ids[0]) if len(doc_ids) else 0
+    codes = [EliasFano.build(starts), EliasFano.build(doc_ids.view(np.uint64) - np.array(base).view(np.uint64))]
+    head = MAGIC + bytes([2, width, *(c.low_bits for c in codes)])
+    sizes = [nulls + len(doc_ids), nulls, base, len(ids), *(len(x) for c in codes for x in (c.high, c.samples))]
+    body = b"".join(x.tobytes() for c in codes for x in (c.low, c.high, c.samples.astype("<i8")))
+    return head + np.array(sizes, "<i8").tobytes() + body + ids.astype(f"<u{width}").tobytes()
 
 
-def blocks(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray, EliasFano]]:
-    """(doc ids, ids, boundaries) of each block of a file."""
+def blocks(content: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, EliasFano]]:
+    """(documents without id, ids of the others, token ids, boundaries) of each block of a file."""
     at = 0
     while at < len(content):
-        if content[at : at + 4] != MAGIC or content[at + 4] != 1:
+        if content[at : at + 4] != MAGIC or content[at + 4] != 2:
             raise ValueError("not a token file")
-        width, low_bits = content[at + 5], content[at + 6]
-        n, tokens, high, samples = np.frombuffer(content, "<i8", 4, at + 8).tolist()
-        at += 40
-        doc_ids = np.frombuffer(content, "<i8", n, at).tolist()
-        at += 8 * n
-        nulls = np.unpackbits(np.frombuffer(content, np.uint8, (n + 7) // 8, at), bitorder="little")
-        at += (n + 7) // 8
-        parts = []
-        for size in ((n * low_bits + 63) // 64, high, samples):
-            parts.append(np.frombuffer(content, "<u8", size, at))
-            at += 8 * size
+        width, low_bits = content[at + 5], content[at + 6 : at + 8]
+        n, nulls, base, tokens, *sizes = np.frombuffer(content, "<i8", 8, at + 8).tolist()
+        at += 72
+        codes = []
+        for m, low, high, samples in ((n, low_bits[0], *sizes[:2]), (n - nulls, low_bits[1], *sizes[2:])):
+            parts = []
+            for size in ((m * low + 63) // 64, high, samples):
+                parts.append(np.frombuffer(content, "<u8", size, at))
+                at += 8 * size
+            codes.append(EliasFano(m, low, parts[0], parts[1], parts[2].astype(np.int64)))
         ids = np.frombuffer(content, f"<u{width}", tokens, at)
         at += tokens * width + 1  # a line end follows
-        yield [None if z else d for d, z in zip(doc_ids, nulls, strict=False)], ids, EliasFano(n, low_bits, parts[0], parts[1], parts[2].astype(np.int64))
+        yield nulls, codes[1].values() + base, ids, codes[0]
+
+
+def token_count(content: bytes) -> int:
+    """Token ids in a file, by the heads of its blocks."""
+    at = total = 0
+    while at < len(content):
+        n, nulls, _, tokens, high, samples, doc_high, doc_samples = np.frombuffer(content, "<i8", 8, at + 8).tolist()
+        low = (n * content[at + 6] + 63) // 64 + ((n - nulls) * content[at + 7] + 63) // 64
+        at += 72 + 8 * (low + high + samples + doc_high + doc_samples) + tokens * content[at + 5] + 1
+        total += tokens
+    return total
 
 
 @lru_cache(maxsize=2)
@@ -143,13 +158,11 @@ def library_encoder(path: str) -> tuple[Encoder, int]:
     tokenizer.no_truncation()
     tokenizer.no_padding()
     n = tokenizer.get_vocab_size()
-    letters = 256 * [0]
     special = set(tokenizer.get_added_tokens_decoder())
     names = {i: t for t, i in tokenizer.get_vocab().items()}
     sizes = np.zeros(max(names) + 1, np.int64)
     for i, name in names.items():
         sizes[i] = len(name.encode()) if i in special else len(name)
-    del letters
 
     def encode(found: list[bytes]) -> list[bytes]:
         out: list[bytes] = [b""] * len(found)
@@ -180,7 +193,9 @@ def _packed(path: str | None, end_id: int):
             kept = np.ones(len(whole), bool)
             kept[bounds[1:] + np.arange(n)] = False
             whole[kept] = ids
-            yield pa.record_batch({"block": pa.array([pack_block(batch.column("doc_id").to_pylist(), whole, starts, width)], pa.binary())})
+            nulls = batch.column("doc_id").null_count
+            doc_ids = batch.column("doc_id").slice(nulls).to_numpy(zero_copy_only=False).astype(np.int64)
+            yield pa.record_batch({"block": pa.array([pack_block(doc_ids, nulls, whole, starts, width)], pa.binary())})
 
     return run
 
@@ -189,27 +204,26 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     """Files part-*.txt in folder, whose names sort as their documents' ids do."""
     narrow = columns(docs, "doc_id", "text")
     total = narrow.agg(F.coalesce(F.sum(F.octet_length("text") + 8), F.lit(0)).alias("n")).first()["n"]
-    ordered = narrow.repartitionByRange(max(1, -(-total // file_bytes)), F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", "text")
+    ordered = narrow.repartitionByRange(max(1, -(-total // file_bytes)), F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     packed = ordered.mapInArrow(_packed(path, end_id), "block binary")
     packed.select(F.col("block").cast("string").alias("value")).write.text(folder)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-            n = sum(len(ids) for _, ids, _ in blocks(content.as_buffer().to_pybytes()))
-            yield pa.record_batch({"path": pa.array([path]), "n": pa.array([n], pa.int64())})
+        for part, content in zip(batch.column("part").to_pylist(), batch.column("content"), strict=True):
+            yield pa.record_batch({"part": pa.array([part], pa.int64()), "n": pa.array([token_count(content.as_buffer().to_pybytes())], pa.int64())})
 
 
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for before, content in zip(batch.column("before").to_pylist(), batch.column("content"), strict=True):
-            for doc_ids, ids, code in blocks(content.as_buffer().to_pybytes()):
-                starts = np.append(code.values(), len(ids)).astype(np.int64)
-                row, edge = ids.astype("<u4").tobytes(), starts.tolist()
+            for nulls, doc_ids, ids, code in blocks(content.as_buffer().to_pybytes()):
+                edge = [*(code.select(i) for i in range(code.n)), len(ids)]
+                starts, row = np.array(edge, np.int64), ids.astype("<u4").tobytes()
                 yield pa.record_batch(
                     {
-                        "doc_id": pa.array(doc_ids, pa.int64()),
+                        "doc_id": pa.array([*[None] * nulls, *doc_ids.tolist()], pa.int64()),
                         "start": pa.array(starts[:-1] + before, pa.int64()),
                         "n_tokens": pa.array(np.diff(starts), pa.int64()),
                         "ids_crc32": pa.array([zlib.crc32(row[4 * a : 4 * b]) for a, b in zip(edge, edge[1:], strict=False)], pa.int64()),
@@ -218,18 +232,37 @@ def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 before += len(ids)
 
 
-def manifest(spark, folder: str) -> DataFrame:
-    """path, n (ids of the file), before (ids of all files before it); a row per file."""
+def _files(spark, folder: str) -> DataFrame:
+    """part (the number that Spark gave the file), content."""
     files = spark.read.format("binaryFile").load(folder)
-    sizes = files.mapInArrow(_counted, "path string, n long")
-    return sizes.select("path", "n", (F.sum("n").over(Window.orderBy("path")) - F.col("n")).alias("before"))
+    return files.select(part_number("path").alias("part"), "content")
+
+
+def part_number(path: str) -> Column:
+    """A number, as names are padded to five digits only and part-100000 sorts before part-99999."""
+    return F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).cast("long")
+
+
+def cumulated(sizes: DataFrame) -> DataFrame:
+    """part, n, before (ids of all files before it): summed by groups of files, then inside each group."""
+    group = F.floor(F.col("part") / GROUP)
+    earlier = Window.orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    totals = sizes.groupBy(group.alias("group")).agg(F.sum("n").alias("total"))
+    totals = totals.select("group", F.coalesce(F.sum("total").over(earlier), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("group").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    rows = sizes.withColumn("group", group).withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0)))
+    return rows.join(totals, "group").select("part", "n", (F.col("ahead") + F.col("inside")).alias("before"))
+
+
+def manifest(spark, folder: str) -> DataFrame:
+    """part, n (ids of the file), before (ids of all files before it); a row per file."""
+    return cumulated(stored(_files(spark, folder).mapInArrow(_counted, "part long, n long"), "token-sizes"))
 
 
 def read_token_files(spark, folder: str) -> DataFrame:
     """A row per document: doc_id, start, n_tokens, ids_crc32, all from the files."""
-    files = spark.read.format("binaryFile").load(folder)
-    before = manifest(spark, folder).select(F.col("path").alias("p"), "before")
-    joined = files.join(F.broadcast(before), F.col("path") == F.col("p")).select("before", "content")
+    before = manifest(spark, folder).select(F.col("part").alias("p"), "before")
+    joined = _files(spark, folder).join(checked_broadcast(before), F.col("part") == F.col("p")).select("before", "content")
     return joined.mapInArrow(_listed, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 

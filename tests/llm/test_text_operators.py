@@ -204,6 +204,27 @@ def test_elias_fano(values):
     assert [code.select(i) for i in range(len(values))] == values
 
 
+@given(st.lists(st.integers(-(2**63), 2**63 - 1), max_size=40), st.integers(0, 3))
+def test_token_blocks(doc_ids, nulls):
+    doc_ids = sorted(doc_ids)
+    n = len(doc_ids) + nulls
+    starts = np.arange(n) * 3
+    row = token_files.pack_block(np.array(doc_ids, np.int64), nulls, np.arange(3 * n), starts, 2) + b"\n" if n else b""
+    for found in token_files.blocks(row * 2):
+        assert (found[0], found[1].tolist(), found[2].tolist()) == (nulls, doc_ids, list(range(3 * n)))
+        assert [found[3].select(i) for i in range(n)] == starts.tolist()
+    assert token_files.token_count(row * 2) == 6 * n
+
+
+def test_starts_over_very_many_files(spark):
+    """Names of six digits sort before those of five."""
+    n = 100_050
+    named = spark.range(n).select(F.format_string("file:/x-1/part-%05d-c0.txt", "id").alias("path"), (F.col("id") % 11).alias("n"))
+    found = token_files.cumulated(named.select(token_files.part_number("path").alias("part"), "n")).orderBy("part").collect()
+    assert [r.part for r in found] == list(range(n))
+    assert [r.before for r in found] == [0, *np.cumsum(np.arange(n - 1) % 11).tolist()]
+
+
 def test_mixing(docs):
     rows = source_rows(docs, "doc_id", "text", "source")
     size = lambda t: len(re.findall(WORD, t or ""))
