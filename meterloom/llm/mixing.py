@@ -9,8 +9,9 @@ by cumulating their fractions over documents ordered by size, and what a source
 much is given to or taken from the largest documents that fit in it, PASSES times.
 
 No step needs a group's documents in one task: documents of one source and size are dealt by their ids
-into cells of about CELL rows; cells are cumulated, and documents are only ranked inside their cell.
-Cumulated tables have a row per cell, and those of the targets one per source.
+into cells of about CELL rows, and documents are only ranked inside their cell. Cells are cumulated inside their
+source and size, from what the source's sizes before hold in all; so a task cumulates the cells of one size, or
+the sizes of one source, of which there are at most as many as its longest text has words. The targets' tables have a row per source.
 
 Edge cases: a null text has size 0; documents of size 0 have rate 1 and give no words. The null source
 is a source of its own, last in order. Rows that repeat an id are documents of their own, in one cell.
@@ -21,6 +22,7 @@ text and the source's are not read.
 from __future__ import annotations
 
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -92,6 +94,8 @@ def solve_dual(groups: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
         state = stored(sums.select("source", "target", "source_size", "mean", lam.alias("lam"), lo.alias("lo"), hi.alias("hi"), done.alias("done")), "mixing-dual")
         if state.filter(~F.col("done") & (F.col("hi") - F.col("lo") > 1e-12 * (F.abs("lo") + F.abs("hi")))).isEmpty():
             break
+    else:
+        warnings.warn(f"multipliers did not settle in {ITERATIONS} iterations; source_taken tells what a source gets", stacklevel=2)
     return state.select("source", "target", "source_size", "mean", "lam")
 
 
@@ -103,15 +107,19 @@ def _fitted(cells: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
     more = F.col("n") * int(cap) - F.col("k")
     fits = (F.col("size") > 0) & (F.col("size") <= F.abs("lack"))
     rows = rows.withColumn("room", F.when(fits, F.when(F.col("lack") > 0, more).otherwise(F.col("k"))).otherwise(0))
-    down = Window.partitionBy("source").orderBy(F.desc("size"), "cell")
-    before = F.sum(F.col("room") * F.col("size")).over(down) - F.col("room") * F.col("size")
+    larger = Window.partitionBy("source").orderBy(F.desc("size")).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = rows.groupBy("source", "size").agg(F.sum(F.col("room") * F.col("size")).alias("words"))
+    ahead = ahead.select(F.col("source").alias("s2"), F.col("size").alias("z2"), F.coalesce(F.sum("words").over(larger), F.lit(0)).alias("ahead"))
+    rows = rows.join(ahead, F.col("source").eqNullSafe(F.col("s2")) & (F.col("size") == F.col("z2")))
+    inside = Window.partitionBy("source", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("ahead") + F.coalesce(F.sum("room").over(inside), F.lit(0)) * F.col("size")
     change = F.greatest(F.lit(0), F.least("room", F.floor((F.abs("lack") - before) / F.greatest("size", F.lit(1)))))
     k = F.col("k") + F.when(F.col("lack") > 0, change).otherwise(-change)
     return stored(rows.select("source", "size", "cell", "n", k.cast("long").alias("k")), "mixing-cells")
 
 
 def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, cell: int = CELL) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, taken, copies, rate, source."""
+    """A row per document: doc_id, size, source_size, target, taken, copies, rate, source, source_taken (words the mix takes of the source)."""
     sized = stored(docs.select("doc_id", F.col(f"`{source}`").alias("source"), word_count(F.col("text")).alias("size")), "mixing-sizes")
     groups = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mixing-groups")
     sources = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"))
@@ -121,30 +129,35 @@ def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...
     tilt = checked_broadcast(dual.select(F.col("source").alias("s"), "mean", "lam"), "s")
     rated = groups.join(tilt, F.col("source").eqNullSafe(F.col("s")), "left")
     rate = F.when(F.col("size") == 0, 1.0).otherwise(F.least(F.lit(cap), F.exp(F.least(F.col("lam") * F.col("size") / F.col("mean"), F.lit(50.0)))))
-    rated = rated.select("source", "size", F.coalesce(rate, F.lit(0.0)).alias("rate"), F.ceil(F.col("n") / cell).alias("cells"))
-    rated = checked_broadcast(stored(rated, "mixing-rates").toDF("s", "z", "rate", "cells"), "s")
+    rated = rated.select("source", "size", "n", F.coalesce(rate, F.lit(0.0)).alias("rate"), F.ceil(F.col("n") / cell).alias("cells"))
+    smaller = Window.partitionBy("source").orderBy("size").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = F.coalesce(F.sum(F.col("n") * (F.col("rate") - F.floor("rate"))).over(smaller), F.lit(0.0))
+    rated = rated.select("source", "size", "rate", "cells", ahead.alias("ahead"))
+    rated = checked_broadcast(stored(rated, "mixing-rates").toDF("s", "z", "rate", "cells", "ahead"), "s")
     dealt = sized.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
     dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells"))).drop("s", "z", "cells")
 
-    cells = dealt.groupBy("source", "size", "cell").agg(F.count("*").alias("n"), F.first("rate").alias("rate"))
+    cells = dealt.groupBy("source", "size", "cell").agg(F.count("*").alias("n"), F.first("rate").alias("rate"), F.first("ahead").alias("ahead"))
     whole = F.floor("rate")
-    up = Window.partitionBy("source").orderBy("size", "cell")
-    fraction = F.col("n") * (F.col("rate") - whole)
-    total = F.sum(fraction).over(up)
-    extra = F.floor(total + 0.5) - F.floor(total - fraction + 0.5)
+    up = Window.partitionBy("source", "size").orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    upto = F.sum("n").over(up)
+    total, less = (F.col("ahead") + n * (F.col("rate") - whole) for n in (upto, upto - F.col("n")))
+    extra = F.floor(total + 0.5) - F.floor(less + 0.5)
     k = F.col("n") * whole + F.greatest(F.lit(0), F.least("n", extra))
     cells = stored(cells.select("source", "size", "cell", "n", k.cast("long").alias("k")), "mixing-cells")
     goals = goals.withColumnRenamed("source", "s")
     for _ in range(PASSES):
         cells = _fitted(cells, goals, cap)
+    taken = cells.groupBy("source").agg(F.sum(F.col("k") * F.col("size")).alias("source_taken"))
+    goals = goals.join(taken, F.col("source").eqNullSafe(F.col("s"))).drop("source")
     cells = cells.join(checked_broadcast(goals, "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
-    cells = cells.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("cell").alias("c"), "n", "k", "target", "source_size")
+    cells = cells.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("cell").alias("c"), "n", "k", "target", "source_size", "source_taken")
     cells = stored(cells, "mixing-copies")
     same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("cell") == F.col("c"))
     ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
     out = ranked.join(checked_broadcast(cells, "s"), same)
     copies = F.floor(F.col("k") / F.col("n")) + (F.col("rank") <= F.col("k") % F.col("n")).cast("long")
-    return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (copies * F.col("size")).alias("taken"), copies.alias("copies"), "rate", "source")
+    return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (copies * F.col("size")).alias("taken"), copies.alias("copies"), "rate", "source", "source_taken")
 
 
 def repeat_documents(docs: DataFrame, mix: DataFrame) -> DataFrame:

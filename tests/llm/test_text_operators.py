@@ -258,6 +258,18 @@ def test_mixing_meets_targets(spark):
     assert all(abs(r.got - r.target) <= 0.005 * r.target + 2 for r in sums)
 
 
+def test_mixing_in_many_cells(spark):
+    """Cells of three rows: a source's words come near its target, and each of its rows states them."""
+    sizes = [F.repeat(F.lit("w "), (F.col("id") % 5 + 1).cast("int")), F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise("s")]
+    frame = spark.range(900).select(F.col("id").alias("doc_id"), sizes[0].alias("text"), sizes[1].alias("source"))
+    rows = mixing.mix_sources(frame, cell=3).collect()
+    got = Counter()
+    for r in rows:
+        got[r.source] += r.taken
+    assert len(rows) == 900 and set(got) == {None, "hot", "s"}
+    assert all(r.source_taken == got[r.source] and abs(got[r.source] - r.target) <= 5 and 0 <= r.copies <= 3 for r in rows)
+
+
 def fingerprint(text):
     words = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
