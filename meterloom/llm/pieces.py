@@ -12,6 +12,8 @@ from collections.abc import Callable
 import numpy as np
 import pyarrow as pa
 
+from meterloom.llm.common import buffers
+
 SPECIAL = b"<|endoftext|>"
 
 _STARTS = np.zeros(256, bool)
@@ -42,6 +44,18 @@ def pieces(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.LargeBinaryArray,
     return found, np.diff(place)
 
 
+def follows(raw: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Whether each piece (raw cut at edge) begins where the pre-tokenizer cuts whatever precedes; the first of a text may not."""
+    start, size = edge[:-1], np.diff(edge)
+    good = size > 1
+    good[good] = (raw[start[good]] == 32) & _STARTS[raw[start[good] + 1]]
+    row = raw.tobytes()
+    mark = b" " + SPECIAL
+    for i in np.flatnonzero(good & (size >= len(mark))).tolist():
+        good[i] = not row.startswith(mark, start[i])
+    return good
+
+
 def ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     """flat[start[i] : start[i] + size[i]] for all i, one after the other."""
     total = int(size.sum())
@@ -49,6 +63,13 @@ def ragged(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return flat[np.repeat(start - before, size) + np.arange(total)]
 
 
+def slices(array: pa.LargeBinaryArray) -> list[bytes]:
+    """array.to_pylist() without an Arrow scalar for each."""
+    data, offsets = buffers(array)
+    row, edge = data.tobytes(), offsets.tolist()
+    return [row[a:b] for a, b in zip(edge, edge[1:], strict=False)]
+
+
 class Encoder:
     """Ids of whole texts by those of their pieces; encode gives the ids of each of a list of pieces."""
 
@@ -65,13 +86,13 @@ class Encoder:
         if not len(found):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         coded = found.dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = slices(coded.dictionary)
         if len(self.known) > self.remembered:
             self.known = {}
         if new := [w for w in words if w not in self.known]:
             self.known.update(zip(new, self.encode(new), strict=True))
         ids = [self.known[w] for w in words]
-        size = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+        size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         start = np.cumsum(size) - size
         index = coded.indices.to_numpy()

@@ -23,6 +23,7 @@ block and no rows. Columns other than doc_id and text are not read.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 
 from meterloom.llm.bpe import vocabulary_path
 from meterloom.llm.common import buffers, checked_broadcast, chunks, columns, scratch, stored, text_bytes
-from meterloom.llm.pieces import Encoder
+from meterloom.llm.pieces import follows, pieces, ragged
 
 END_ID = 2
 MAGIC = b"EFTK"
@@ -45,6 +46,10 @@ FILE_BYTES = 16 << 20
 GROUP = 1000
 #: Text bytes of a block.
 BLOCK_BYTES = 4 << 20
+#: Text bytes whose distinct pieces are encoded once.
+ENCODE_BYTES = 16 << 20
+#: Pieces that the library encodes as one text; the time that it takes for a piece grows with the text.
+TOGETHER = 200
 
 
 class EliasFano:
@@ -147,55 +152,83 @@ def token_count(content: bytes) -> int:
     return total
 
 
+class Coded:
+    """Ids of several texts: those of each distinct piece, and the pieces of each text."""
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, index: np.ndarray, counts: np.ndarray):
+        """flat: the ids of all distinct pieces, sizes of them each; index: the texts' pieces, counts of them each."""
+        self.flat, self.sizes, self.starts, self.index = flat, sizes, np.cumsum(sizes) - sizes, index
+        self.first = np.concatenate([[0], np.cumsum(counts)])
+
+    def rows(self, a: int, b: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of the texts a to b - 1, start of each text's ids and the end of the last)."""
+        index = self.index[self.first[a] : self.first[b]]
+        size = self.sizes[index]
+        bounds = np.concatenate([[0], np.cumsum(size)])[self.first[a : b + 1] - self.first[a]]
+        return ragged(self.flat, self.starts[index], size), bounds
+
+
+class LibraryEncoder:
+    """Encodes the distinct pieces of texts by the tokenizers library, many as one text.
+
+    A piece that begins with a space and another character begins a pre-token whatever precedes it, so it may follow any other; the
+    ids of the whole are cut by their sizes in bytes."""
+
+    def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        special = set(self.tokenizer.get_added_tokens_decoder())
+        names = {i: t for t, i in self.tokenizer.get_vocab().items()}
+        self.sizes = np.zeros(max(names) + 1, np.int64)
+        for i, name in names.items():
+            self.sizes[i] = len(name.encode()) if i in special else len(name)
+
+    def coded(self, data: np.ndarray, offsets: np.ndarray) -> Coded:
+        found, counts = pieces(data, offsets)
+        coded = found.dictionary_encode()
+        raw, edge = buffers(coded.dictionary)
+        row, ids = raw.tobytes(), [np.zeros(0, np.uint32)]
+        begins = np.concatenate([np.flatnonzero(~follows(raw, edge)), np.arange(0, len(edge) - 1, TOGETHER)])
+        cuts = [*edge[np.unique(begins)].tolist(), len(row)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            ids.append(np.array(self.tokenizer.encode_batch_fast([row[a:b].decode()], add_special_tokens=False)[0].ids, np.uint32))
+        flat = np.concatenate(ids)
+        ends = np.searchsorted(np.cumsum(self.sizes[flat]), edge[1:], side="left") + 1
+        return Coded(flat, np.diff(ends, prepend=0), coded.indices.to_numpy(), counts)
+
+    def __call__(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, start of each text's ids and the end of the last)."""
+        return self.coded(data, offsets).rows(0, len(offsets) - 1)
+
+
 @lru_cache(maxsize=2)
-def library_encoder(path: str) -> tuple[Encoder, int]:
-    """(encoder by the tokenizers library, id width), one a worker and vocabulary.
-
-    Pieces that begin with a space are encoded as one text, as each begins a pre-token; its ids are cut by their sizes in bytes."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    n = tokenizer.get_vocab_size()
-    special = set(tokenizer.get_added_tokens_decoder())
-    names = {i: t for t, i in tokenizer.get_vocab().items()}
-    sizes = np.zeros(max(names) + 1, np.int64)
-    for i, name in names.items():
-        sizes[i] = len(name.encode()) if i in special else len(name)
-
-    def encode(found: list[bytes]) -> list[bytes]:
-        out: list[bytes] = [b""] * len(found)
-        spaced = [k for k, p in enumerate(found) if p[:1] == b" "]
-        others = [k for k, p in enumerate(found) if p[:1] != b" "]
-        for at in range(0, len(spaced), 2000):
-            some = spaced[at : at + 2000]
-            ids = np.array(tokenizer.encode(b"".join([found[k] for k in some]).decode(), add_special_tokens=False).ids, "<u4")
-            ends = np.searchsorted(np.cumsum(sizes[ids]), np.cumsum([len(found[k]) for k in some]), side="left") + 1
-            row = ids.tobytes()
-            for k, a, b in zip(some, [0, *ends.tolist()], ends.tolist(), strict=False):
-                out[k] = row[4 * a : 4 * b]
-        for k, e in zip(others, tokenizer.encode_batch([found[k].decode() for k in others], add_special_tokens=False), strict=True):
-            out[k] = np.array(e.ids, "<u4").tobytes()
-        return out
-
-    return Encoder(encode), 2 if n <= 1 << 16 else 4
+def library_encoder(path: str) -> tuple[LibraryEncoder, int]:
+    """(encoder by the tokenizers library, id width), one a worker and vocabulary."""
+    encoder = LibraryEncoder(path)
+    return encoder, 2 if encoder.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
 
 def _packed(path: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, width = library_encoder(path or vocabulary_path())
-        for batch in chunks(batches, limit=BLOCK_BYTES):
-            ids, bounds = encoder(*buffers(text_bytes(batch.column("text"))))
-            n = batch.num_rows
-            whole = np.full(len(ids) + n, end_id, np.uint32)
-            starts = bounds[:-1] + np.arange(n)
-            kept = np.ones(len(whole), bool)
-            kept[bounds[1:] + np.arange(n)] = False
-            whole[kept] = ids
-            nulls = batch.column("doc_id").null_count
-            doc_ids = batch.column("doc_id").slice(nulls).to_numpy(zero_copy_only=False).astype(np.int64)
-            yield pa.record_batch({"block": pa.array([pack_block(doc_ids, nulls, whole, starts, width)], pa.binary())})
+        for batch in chunks(batches, limit=ENCODE_BYTES):
+            coded, at = encoder.coded(*buffers(text_bytes(batch.column("text")))), 0
+            for part in chunks(iter([batch]), limit=BLOCK_BYTES):
+                n = part.num_rows
+                ids, bounds = coded.rows(at, at + n)
+                at += n
+                whole = np.full(len(ids) + n, end_id, np.uint32)
+                starts = bounds[:-1] + np.arange(n)
+                kept = np.ones(len(whole), bool)
+                kept[bounds[1:] + np.arange(n)] = False
+                whole[kept] = ids
+                nulls = part.column("doc_id").null_count
+                doc_ids = part.column("doc_id").slice(nulls).to_numpy(zero_copy_only=False).astype(np.int64)
+                yield pa.record_batch({"block": pa.array([pack_block(doc_ids, nulls, whole, starts, width)], pa.binary())})
 
     return run
 

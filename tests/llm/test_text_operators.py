@@ -178,6 +178,14 @@ def test_bpe_equals_library(tokenizer, text):
     assert model.decode(ids, bounds) == [text.encode()]
 
 
+def test_library_takes_texts_apart(tokenizer):
+    """Texts that begin or end with white space or the special token, encoded together; before, a text's first piece could join the one before."""
+    texts = ["a foo \u00a0", " \u00a0", "a b ", " <|endoftext|>a", "  c d\n", "e f  ", "   ", "", "\t g", " c h \u00a0", " \u00a0 \u00a0<|endoftext|> i"]
+    library, _ = token_files.library_encoder(bpe.vocabulary_path())
+    ids, bounds = library(*buffers(text_bytes(pa.array(texts))))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [ids_of(tokenizer, t) for t in texts]
+
+
 def test_exact_merging_agrees():
     model, _ = bpe.load(bpe.vocabulary_path())
     words = [w.encode() for w in ("aaaaaaa", "thththth", " worthless", "ouèauen", "a" * 31, "\n\n\n")]
