@@ -32,7 +32,7 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as many times as the mix takes them."""
-    return mixing.repeat_documents(docs, stored(mixing.mix_sources(docs), "pipeline-mix"))
+    return mixing.repeat_documents(docs)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -118,8 +118,8 @@ def _fitted(cells: DataFrame, goals: DataFrame, cap: float) -> DataFrame:
     return stored(rows.select("source", "size", "cell", "n", k.cast("long").alias("k")), "mixing-cells")
 
 
-def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, cell: int = CELL) -> DataFrame:
-    """A row per document: doc_id, size, source_size, target, taken, copies, rate, source, source_taken (words the mix takes of the source)."""
+def _mixed(docs: DataFrame, source: str, weights: tuple[int, ...], cap: float, cell: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(s, z, rate, cells, ahead of each source and size; the documents with rank in their cell; s, z, c, n, k of each cell and what its source gets)."""
     sized = stored(docs.select("doc_id", F.col(f"`{source}`").alias("source"), word_count(F.col("text")).alias("size")), "mixing-sizes")
     groups = stored(sized.groupBy("source", "size").agg(F.count("*").alias("n")), "mixing-groups")
     sources = groups.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"), F.sum("n").alias("n_docs"))
@@ -134,8 +134,7 @@ def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...
     ahead = F.coalesce(F.sum(F.col("n") * (F.col("rate") - F.floor("rate"))).over(smaller), F.lit(0.0))
     rated = rated.select("source", "size", "rate", "cells", ahead.alias("ahead"))
     rated = checked_broadcast(stored(rated, "mixing-rates").toDF("s", "z", "rate", "cells", "ahead"), "s")
-    dealt = sized.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
-    dealt = dealt.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells"))).drop("s", "z", "cells")
+    dealt = _dealt(sized, rated)
 
     cells = dealt.groupBy("source", "size", "cell").agg(F.count("*").alias("n"), F.first("rate").alias("rate"), F.first("ahead").alias("ahead"))
     whole = F.floor("rate")
@@ -153,20 +152,49 @@ def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...
     cells = cells.join(checked_broadcast(goals, "s"), F.col("source").eqNullSafe(F.col("s"))).drop("s")
     cells = cells.select(F.col("source").alias("s"), F.col("size").alias("z"), F.col("cell").alias("c"), "n", "k", "target", "source_size", "source_taken")
     cells = stored(cells, "mixing-copies")
-    same = F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("cell") == F.col("c"))
-    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id")))
-    out = ranked.join(checked_broadcast(cells, "s"), same)
+    ranked = dealt.withColumn("rank", F.row_number().over(Window.partitionBy("source", "size", "cell").orderBy(_place(), "doc_id")))
+    return rated, ranked, cells
+
+
+def _dealt(sized: DataFrame, rated: DataFrame) -> DataFrame:
+    """Rows with doc_id, source and size, with the rate and the cell that they fall into."""
+    dealt = sized.join(rated, F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")))
+    return dealt.withColumn("cell", F.pmod(F.xxhash64("doc_id"), F.col("cells"))).drop("s", "z", "cells")
+
+
+def _place() -> Column:
+    """Documents of a cell follow by this, then by doc_id."""
+    return F.xxhash64("doc_id", F.lit(1))
+
+
+def _same_cell() -> Column:
+    return F.col("source").eqNullSafe(F.col("s")) & (F.col("size") == F.col("z")) & (F.col("cell") == F.col("c"))
+
+
+def mix_sources(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, cell: int = CELL) -> DataFrame:
+    """A row per document: doc_id, size, source_size, target, taken, copies, rate, source, source_taken (words the mix takes of the source)."""
+    _, ranked, cells = _mixed(docs, source, weights, cap, cell)
+    out = ranked.join(checked_broadcast(cells, "s"), _same_cell())
     copies = F.floor(F.col("k") / F.col("n")) + (F.col("rank") <= F.col("k") % F.col("n")).cast("long")
     return out.select("doc_id", "size", "source_size", F.col("target").cast("double").alias("target"), (copies * F.col("size")).alias("taken"), copies.alias("copies"), "rate", "source", "source_taken")
 
 
-def repeat_documents(docs: DataFrame, mix: DataFrame) -> DataFrame:
-    """The documents, each as many times as its copies; rows of one id, source and size get the most of theirs."""
-    copies = mix.groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies")).filter("copies > 0")
+def repeat_documents(docs: DataFrame, source: str = "source", weights: tuple[int, ...] = WEIGHTS, cap: float = CAP, cell: int = CELL) -> DataFrame:
+    """The documents, each as many times as mix_sources has copies; rows of one id, source and size get the most of theirs.
+
+    A cell's documents that get one copy more are those up to the last of them in the cell's order, so a document needs its cell's
+    row only: a table of a row for about `cell` documents meets the texts, which are not exchanged while it can be broadcast."""
+    rated, ranked, cells = _mixed(docs, source, weights, cap, cell)
+    last = F.max(F.when(F.col("rank") == F.col("k") % F.col("n"), F.struct(_place().alias("place"), F.col("doc_id").alias("id"))))
+    ends = ranked.join(checked_broadcast(cells, "s"), _same_cell()).groupBy("source", "size", "cell").agg(F.first(F.floor(F.col("k") / F.col("n"))).alias("each"), last.alias("last"))
+    ends = stored(ends.toDF("s", "z", "c", "each", "last").filter("each > 0 or last is not null"), "mixing-ends")
     whole = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"))  # so that no name can clash
-    same = F.col("doc.doc_id").eqNullSafe(F.col("doc_id")) & F.col("doc.source").eqNullSafe(F.col("source")) & (word_count(F.col("doc.text")) == F.col("size"))
-    joined = whole.join(copies, same).select("doc", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return joined.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
+    sized = whole.select("doc", F.col("doc.doc_id").alias("doc_id"), F.col("doc").getField(source).alias("source"), word_count(F.col("doc.text")).alias("size"))
+    joined = _dealt(sized, rated).join(checked_broadcast(ends, "s"), _same_cell())
+    upto = F.col("doc_id").isNull() | F.coalesce(F.col("doc_id") <= F.col("last.id"), F.lit(False))
+    more = F.col("last").isNotNull() & ((_place() < F.col("last.place")) | ((_place() == F.col("last.place")) & upto))
+    repeated = joined.withColumn("copies", F.col("each") + more.cast("long")).filter("copies > 0").select("doc", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    return repeated.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns))
 
 
 def op4_mixing(spark, sf_dir) -> DataFrame:

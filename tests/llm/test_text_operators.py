@@ -278,6 +278,28 @@ def test_mixing_in_many_cells(spark):
     assert all(r.source_taken == got[r.source] and abs(got[r.source] - r.target) <= 5 and 0 <= r.copies <= 3 for r in rows)
 
 
+def test_mixed_texts_are_not_exchanged(spark):
+    """Also where Spark would not broadcast by itself; each row as many times as mix_sources says, the most where an id is repeated."""
+    sizes = [F.repeat(F.lit("w "), (F.col("id") % 5 + 1).cast("int")), F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, "hot").otherwise("s")]
+    ids = F.when(F.col("id") % 50 == 7, None).when(F.col("id") % 4 == 1, F.lit(1)).otherwise(F.col("id"))
+    frame = spark.range(900).select(ids.alias("doc_id"), sizes[0].alias("text"), sizes[1].alias("source"))
+    most, rows = Counter(), Counter()
+    for r in mixing.mix_sources(frame, cell=3).collect():
+        key = (r.doc_id, r.source, r["size"])
+        most[key], rows[key] = max(most[key], r.copies), rows[key] + 1
+    assert len(set(most.values())) > 2
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = mixing.repeat_documents(frame, cell=3)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        got = Counter((r.doc_id, r.source, len(r.text.split())) for r in found.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    assert "Exchange hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    assert got == Counter({k: most[k] * n for k, n in rows.items() if most[k]})
+
+
 def fingerprint(text):
     words = re.findall(WORD, re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     if not words:
