@@ -9,7 +9,8 @@ tasks, FAN ranges at a time. The tree moves open ends only; a group is written o
 
 Long texts are cut for encoding where a single space precedes a character that is no white space: A's pre-tokenizer always cuts there,
 and B's vocabulary has no piece with a space after another character (checked), so that both encode the parts as the whole.
-Ranges of bytes for fragments are cut without regard to that.
+Ranges of bytes for fragments are cut without regard to that. The pieces between such cuts are what is encoded: each distinct one once for
+ENCODE_BYTES of texts, some hundreds as one text, or its halves where the ids' bytes differ from it.
 
 Links are the pairs of tokens that end at a border. Of two tokens that end together one's bytes end with the other's, so there are at
 most as many id pairs as the tokens of both vocabularies have bytes (`pair_bound`, some 500,000 here) whatever the corpus; counts are
@@ -24,18 +25,21 @@ not read.
 from __future__ import annotations
 
 import hashlib
+import os
 import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meterloom.llm.bpe import _byte_letters, vocabulary_path
-from meterloom.llm.common import chunks, columns, parts, read_table, stored, text_bytes
+from meterloom.llm.common import buffers, chunks, columns, parts, read_table, stored
 from meterloom.llm.pieces import _STARTS, ragged
 from meterloom.operators.spread import bounded_join
 
@@ -48,15 +52,47 @@ PART = 64 << 10
 CHUNK = 16 << 10
 #: Ranges composed in one task at each level of the tree.
 FAN = 64
-#: Text bytes encoded at a time, and bytes of remembered pieces, about.
+#: Text bytes whose distinct pieces are encoded once, and text bytes aligned at a time.
+ENCODE_BYTES = 8 << 20
 BATCH_BYTES = 1 << 20
-REMEMBERED = 16 << 20
+#: Pieces that the libraries encode as one text.
+TOGETHER = 200
+
+
+class Side:
+    """The bytes of a tokenizer's tokens."""
+
+    def __init__(self, tokens: list[bytes]):
+        self.size = np.array([len(t) for t in tokens], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def counts(self, ids: np.ndarray, row: bytes, stops: np.ndarray) -> np.ndarray | None:
+        """Number of ids of each piece of row (they end at stops); None if the ids' bytes aren't row or a token crosses a stop."""
+        size = self.size[ids]
+        if size.sum() != len(row) or ragged(self.flat, self.start[ids], size).tobytes() != row:
+            return None
+        ends = np.cumsum(size)
+        upto = np.searchsorted(ends, stops)
+        return np.diff(upto + 1, prepend=0) if (ends[upto] == stops).all() else None
+
+
+class Coded(NamedTuple):
+    """Ids of distinct pieces by one tokenizer: all, each piece's first, their number."""
+
+    flat: np.ndarray
+    start: np.ndarray
+    size: np.ndarray
+
+    def ids(self, index: np.ndarray) -> np.ndarray:
+        return ragged(self.flat, self.start[index], self.size[index]).astype(np.int64)
 
 
 class Pair:
-    """Two tokenizers, their tokens' bytes, and the ids of pieces seen before."""
+    """Two tokenizers and their tokens' bytes."""
 
     def __init__(self, byte_path: str, piece_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -75,51 +111,54 @@ class Pair:
         if any(re.search("[^▁]▁", p) for p in pieces):
             raise ValueError("texts can't be cut at spaces: a piece has a space after another character")
         self.b_tokens = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace("▁", " ").encode() for p in pieces]
-        self.a_size, self.b_size = (np.array([len(t) for t in x], np.int64) for x in (self.a_tokens, self.b_tokens))
+        self.spaced = "▁" in pieces  # then B never gives back the bytes of this character, it stands for a space
+        self.sides = Side(self.a_tokens), Side(self.b_tokens)
+        self.a_size, self.b_size = (x.size for x in self.sides)
         self.code = np.dtype("<u4" if len(self.a_tokens) * len(self.b_tokens) <= 1 << 32 else "<u8")
-        self.known: dict[bytes, tuple[bytes, bytes, bool]] = {}
-        self.held = 0
-
-    def encode(self, found: list[bytes]) -> list[tuple[bytes, bytes, bool]]:
-        """(A ids, B ids as unsigned 32-bit integers, whether both give the piece's bytes) of pieces that begin with a space."""
-        first: list[list[int]] = [[]] * len(found)
-        plain = [k for k, p in enumerate(found) if len(p) > 1 and _STARTS[p[1]]]
-        alone = [k for k, p in enumerate(found) if not (len(p) > 1 and _STARTS[p[1]])]
-        for at in range(0, len(plain), 2000):
-            some = plain[at : at + 2000]
-            ids = np.array(self.a.encode(b"".join([found[k] for k in some]).decode(), add_special_tokens=False).ids, np.int64)
-            stops = np.cumsum([len(found[k]) for k in some])
-            ends = np.cumsum(self.a_size[ids])
-            edge = np.searchsorted(ends, stops) + 1
-            if len(ends) < edge[-1] or (ends[edge - 1] != stops).any():
-                alone += some
+
+    def _both(self, row: bytes, stops: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]] | None:
+        """(ids, their number in each piece of row) by A and by B; None if one of them doesn't give the pieces' bytes."""
+        text = row.decode()
+        found = self.a.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.b.encode(text[1:])
+        ids = [np.array(x, np.int64) for x in found]
+        if len(stops) == 1:  # without arrays, as short texts may have most of their pieces alone
+            good = row == b"".join([self.a_tokens[i] for i in found[0]]) == b"".join([self.b_tokens[i] for i in found[1]])
+            return [(x, np.array([len(x)])) for x in ids] if good else None
+        counts = [side.counts(x, row, stops) for side, x in zip(self.sides, ids, strict=True)]
+        return None if counts[0] is None or counts[1] is None else [*zip(ids, counts, strict=True)]
+
+    def coded(self, raw: np.ndarray, edge: np.ndarray) -> tuple[Coded, Coded, np.ndarray]:
+        """(A's ids of pieces that begin with a space, raw cut at edge; B's; whether both give the piece's bytes).
+
+        Many are encoded as one text; if that doesn't give their bytes, its halves are. Those with U+2581 are not encoded."""
+        row, n = raw.tobytes(), len(edge) - 1
+        start, size = edge[:-1], np.diff(edge)
+        joins = size > 1  # to what stands before
+        joins[joins] = _STARTS[raw[start[joins] + 1]]
+        joins[1:] &= raw[start[1:] - 1] != 32
+        good = np.ones(n, bool)
+        if self.spaced:
+            marks = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x96) & (raw[2:] == 0x81))
+            good[np.searchsorted(edge, marks, side="right") - 1] = False
+            joins &= good
+            joins[1:] &= good[:-1]
+        begins = [*np.unique(np.concatenate([np.flatnonzero(~joins), np.arange(0, n, TOGETHER)])).tolist(), n]
+        none = [(np.zeros(0, np.int64), np.zeros(1, np.int64))] * 2
+        found = []
+        runs = [*zip(begins, begins[1:], strict=False)][::-1]
+        while runs:
+            i, j = runs.pop()
+            got = self._both(row[edge[i] : edge[j]], edge[i + 1 : j + 1] - edge[i]) if good[i] else None
+            if not got and j - i > 1:
+                runs += [((i + j) // 2, j), (i, (i + j) // 2)]
                 continue
-            for k, a, b in zip(some, [0, *edge.tolist()], edge.tolist(), strict=False):
-                first[k] = ids[a:b].tolist()
-        for k, e in zip(alone, self.a.encode_batch([found[k].decode() for k in alone], add_special_tokens=False), strict=True):
-            first[k] = e.ids
-        second = self.b.encode([p[1:].decode() for p in found], num_threads=1)
-        out = []
-        for piece, x, y in zip(found, first, second, strict=True):
-            good = piece == b"".join([self.a_tokens[i] for i in x]) == b"".join([self.b_tokens[i] for i in y])
-            out.append((np.array(x, "<u4").tobytes(), np.array(y, "<u4").tobytes(), good))
-        return out
-
-    def lookup(self, found: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
-        """([A's ids of all pieces, each piece's first, their number], the same for B, whether a piece is good)."""
-        if self.held > REMEMBERED:
-            self.known, self.held = {}, 0
-        new = [p for p in found if p not in self.known]
-        fresh = dict(zip(new, self.encode(new), strict=True)) if new else {}
-        got = [fresh.get(p) or self.known[p] for p in found]
-        short = {p: x for p, x in fresh.items() if len(p) <= 64}
-        self.known.update(short)
-        self.held += sum(250 + 2 * len(p) + len(x[0]) + len(x[1]) for p, x in short.items())
+            good[i] &= got is not None  # a run of several pieces is good here
+            found.append(got or none)
         sides = []
         for side in (0, 1):
-            size = np.fromiter((len(x[side]) // 4 for x in got), np.int64, len(got))
-            sides.append([np.frombuffer(b"".join([x[side] for x in got]), "<u4").astype(np.int64), np.cumsum(size) - size, size])
-        return sides[0], sides[1], np.fromiter((x[2] for x in got), bool, len(got))
+            number = np.concatenate([x[side][1] for x in found])
+            sides.append(Coded(np.concatenate([x[side][0].astype("<u4") for x in found]), np.cumsum(number) - number, number))
+        return sides[0], sides[1], good
 
     def pair_bound(self) -> int:
         """No corpus links more id pairs: of two tokens that end together one is an end of the other."""
@@ -217,28 +256,41 @@ class Aligned(NamedTuple):
     fragments: list[Fragment]
 
 
-def align(pair: Pair, bodies: list[bytes], starts: list[int], chunk: int = CHUNK) -> list[Aligned]:
-    """What bodies yield, each a text with its space or a part of one that begins at a cut; starts: where in the text."""
-    nothing = Aligned(False, 0, 0, np.zeros(0, pair.code), [])
-    if not bodies:
-        return []
-    data = np.frombuffer(b"".join(bodies), np.uint8)
-    size = np.array([len(x) for x in bodies], np.int64)
-    offsets = np.concatenate([[0], np.cumsum(size)])
+def align(pair: Pair, bodies: pa.LargeBinaryArray | list[bytes], starts: list[int], chunk: int = CHUNK) -> Iterator[Aligned]:
+    """What bodies yield, each a text with its space or a part of one that begins at a cut; starts: where in the text.
+
+    The distinct pieces of all bodies are encoded once; bodies are aligned BATCH_BYTES at a time."""
+    if not len(bodies):
+        return
+    data, offsets = buffers(pa.array(bodies, pa.large_binary()))
+    size = np.diff(offsets)
     edge = np.append(cuts(data), True)
     edge[offsets] = True
     cut = np.flatnonzero(edge)
-    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut.astype(np.int64).tobytes()), pa.py_buffer(data.tobytes())])
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer(cut), pa.py_buffer(data)])
     coded = found.dictionary_encode()
-    (a_flat, a_start, a_size), (b_flat, b_start, b_size), good = pair.lookup(coded.dictionary.to_pylist())
+    first = np.searchsorted(cut, offsets)
+    pieces = pair.coded(*buffers(coded.dictionary))
     index = coded.indices.to_numpy()
-    owner = np.repeat(np.arange(len(bodies)), np.diff(np.searchsorted(cut, offsets)))
-    bad = np.zeros(len(bodies), bool)
+    del bodies, data, edge, cut, found, coded
+    at = 0
+    while at < len(size):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + BATCH_BYTES, side="right")) - 1)
+        yield from _aligned(pair, pieces, index[first[at] : first[to]], np.diff(first[at : to + 1]), size[at:to], starts[at:to], chunk)
+        at = to
+
+
+def _aligned(pair: Pair, pieces: tuple[Coded, Coded, np.ndarray], index: np.ndarray, counts: np.ndarray, size: np.ndarray, starts: list[int], chunk: int) -> list[Aligned]:
+    """align() of bodies of size bytes by their pieces' places among the distinct ones, counts of them each."""
+    nothing = Aligned(False, 0, 0, np.zeros(0, pair.code), [])
+    a_coded, b_coded, good = pieces
+    owner = np.repeat(np.arange(len(size)), counts)
+    bad = np.zeros(len(size), bool)
     bad[owner[~good[index]]] = True
     index = index[~bad[owner]]
     if not len(index):
-        return [nothing] * len(bodies)
-    a, b = ragged(a_flat, a_start[index], a_size[index]), ragged(b_flat, b_start[index], b_size[index])
+        return [nothing] * len(size)
+    a, b = a_coded.ids(index), b_coded.ids(index)
     begin = np.concatenate([[0], np.cumsum(np.where(bad, 0, size))])
     a_end, b_end = np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b])
     both = np.zeros((2, begin[-1] + 1), bool)
@@ -266,7 +318,7 @@ def align(pair: Pair, bodies: list[bytes], starts: list[int], chunk: int = CHUNK
         return Fragment(place, g1 - g0, place, *ends, text[text_end[g0] : max(text_end[g0], text_end[g1 - 1] - 1)])
 
     out = []
-    for k in range(len(bodies)):
+    for k in range(len(size)):
         i, j = bounds[k], bounds[k + 1]
         if bad[k]:
             out.append(nothing)
@@ -285,22 +337,19 @@ _SHORT = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string,
 def _short(paths: tuple[str, str], chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load(*paths)
-        for batch in chunks(batches, limit=BATCH_BYTES):
-            texts = text_bytes(batch.column("text")).to_pylist()
-            full = [k for k, t in enumerate(texts) if t]
-            found = dict(zip(full, align(pair, [b" " + texts[k] for k in full], [0] * len(full), chunk), strict=True))
-            rows = [found.get(k) for k in range(len(texts))]
-            rows = [x if x and x.good else None for x in rows]
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column("doc_id").cast(pa.int64()),
-                    "n_a": pa.array([x.n_a if x else 0 for x in rows], pa.int64()),
-                    "n_b": pa.array([x.n_b if x else 0 for x in rows], pa.int64()),
-                    "n_groups": pa.array([len(x.codes) if x else 0 for x in rows], pa.int64()),
-                    "groups_sha256": pa.array([digest_of(ordered_texts(x.fragments)) if x else "" for x in rows], pa.string()),
-                    "links": pa.array([x.codes.tobytes() if x else b"" for x in rows], pa.binary()),
-                }
-            )
+        none, space = pa.scalar("", pa.large_string()), pa.scalar(" ", pa.large_string())
+        for batch in chunks(batches, limit=ENCODE_BYTES):
+            rows = [(0, 0, 0, "", b"")] * batch.num_rows
+            text = batch.column("text").cast(pa.large_string())
+            full = pc.indices_nonzero(pc.fill_null(pc.binary_length(text), 0))
+            bodies = pc.binary_join_element_wise(none, text.take(full), space).cast(pa.large_binary())
+            done = align(pair, bodies, [0] * len(full), chunk)
+            for k, x in zip(full.to_pylist(), done, strict=True):
+                if x.good:
+                    rows[k] = x.n_a, x.n_b, len(x.codes), digest_of(ordered_texts(x.fragments)), x.codes.tobytes()
+            kinds = {"n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "groups_sha256": pa.string(), "links": pa.binary()}
+            cols = {n: pa.array(x, t) for (n, t), x in zip(kinds.items(), zip(*rows, strict=True), strict=True)}
+            yield from chunks(iter([pa.record_batch({"doc_id": batch.column("doc_id").cast(pa.int64())} | cols)]), "links", BATCH_BYTES)
 
     return run
 
@@ -338,24 +387,29 @@ def _fragment_columns(found: list[Fragment]) -> dict[str, pa.Array]:
 def _pieces(paths: tuple[str, str], chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = load(*paths)
-        for batch in chunks(batches, "part", BATCH_BYTES):
+        for batch in chunks(batches, "part", ENCODE_BYTES):
             starts = batch.column("at").to_pylist()
-            done = align(pair, batch.column("part").to_pylist(), starts, chunk)
-            empty = np.zeros(0, np.int64)
-            rows, found, head = [], [], []
-            for k, x in enumerate(done):
-                made = x.fragments or [Fragment(starts[k], 0, starts[k], empty, empty, empty, empty)]
-                rows += [k] * len(made)
-                found += made
-                head += [x, *[None] * (len(made) - 1)]  # a part's counts and links stand in its first row
-            keys = batch.select(["row", "doc_id"]).take(pa.array(rows, pa.int64()))
-            cols = {
-                "good": pa.array([done[k].good for k in rows]),
-                "n_a": pa.array([x.n_a if x else 0 for x in head], pa.int64()),
-                "n_b": pa.array([x.n_b if x else 0 for x in head], pa.int64()),
-                "links": pa.array([x.codes.tobytes() if x else b"" for x in head], pa.binary()),
-            }
-            yield pa.record_batch({"row": keys.column(0), "doc_id": keys.column(1)} | cols | _fragment_columns(found) | {"closed": pa.array([f.closed for f in found], pa.binary())})
+            done = enumerate(align(pair, batch.column("part").cast(pa.large_binary()), starts, chunk))
+            while some := [*islice(done, BATCH_BYTES // PART)]:
+                yield rows_of(batch, starts, some)
+
+    def rows_of(batch: pa.RecordBatch, starts: list[int], some: list[tuple[int, Aligned]]) -> pa.RecordBatch:
+        empty = np.zeros(0, np.int64)
+        rows, good, found, head = [], [], [], []
+        for k, x in some:
+            made = x.fragments or [Fragment(starts[k], 0, starts[k], empty, empty, empty, empty)]
+            rows += [k] * len(made)
+            good += [x.good] * len(made)
+            found += made
+            head += [x, *[None] * (len(made) - 1)]  # a part's counts and links stand in its first row
+        keys = batch.select(["row", "doc_id"]).take(pa.array(rows, pa.int64()))
+        cols = {
+            "good": pa.array(good),
+            "n_a": pa.array([x.n_a if x else 0 for x in head], pa.int64()),
+            "n_b": pa.array([x.n_b if x else 0 for x in head], pa.int64()),
+            "links": pa.array([x.codes.tobytes() if x else b"" for x in head], pa.binary()),
+        }
+        return pa.record_batch({"row": keys.column(0), "doc_id": keys.column(1)} | cols | _fragment_columns(found) | {"closed": pa.array([f.closed for f in found], pa.binary())})
 
     return run
 

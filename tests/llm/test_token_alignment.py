@@ -5,6 +5,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -116,6 +117,63 @@ def test_fragments_in_any_bracketing(texts, chunk):
         assert len(nodes[0].suffix_a) == len(nodes[0].suffix_b) == 0
 
 
+class Counting:
+    """A tokenizer that counts the bytes that it is given."""
+
+    def __init__(self, inner):
+        self.inner, self.given = inner, 0
+
+    def _add(self, texts):
+        self.given += sum(len(t.encode()) for t in ([texts] if isinstance(texts, str) else texts))
+
+    def encode(self, texts, **named):
+        self._add(texts)
+        return self.inner.encode(texts, **named)
+
+    def encode_batch(self, texts, **named):
+        self._add(texts)
+        return self.inner.encode_batch(texts, **named)
+
+    def encode_batch_fast(self, texts, **named):
+        self._add(texts)
+        return self.inner.encode_batch_fast(texts, **named)
+
+
+def test_pieces_of_many_texts_are_encoded_once(pair, monkeypatch):
+    words = [f"{i:07d}" for i in range(150_000)]
+    rows = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)]
+    rows += [" ".join(words[i::150]) for i in range(150)]
+    size = sum(len(w) + 1 for w in words)
+    libraries = Counting(pair.a), Counting(pair.b)
+    monkeypatch.setattr(pair, "a", libraries[0])
+    monkeypatch.setattr(pair, "b", libraries[1])
+    batch = pa.record_batch({"doc_id": list(range(len(rows))), "text": rows})
+    run = ta._short((vocabulary_path(ta.BYTE_VOCABULARY), vocabulary_path(ta.PIECE_VOCABULARY)), ta.CHUNK)
+    assert sum(b.num_rows for b in run(iter([batch]))) == len(rows)
+    assert max(x.given for x in libraries) <= 1.05 * size
+
+
+def test_pieces_with_the_space_mark_spoil_no_run(pair, monkeypatch):
+    words = [f"{i:07d}" + "▁" * (i % 20 == 0) for i in range(20_000)]
+    texts = [" ".join(words[i : i + 1000]) for i in range(0, len(words), 1000)] + [" ".join(w for w in words if "▁" not in w)]
+    libraries = Counting(pair.a), Counting(pair.b)
+    monkeypatch.setattr(pair, "a", libraries[0])
+    monkeypatch.setattr(pair, "b", libraries[1])
+    found = list(ta.align(pair, [b" " + t.encode() for t in texts], [0] * len(texts)))
+    assert [x.good for x in found] == [False] * 20 + [True]
+    assert max(x.given for x in libraries) <= sum(len(w) + 1 for w in words)
+
+
+def test_bad_neighbours_in_one_run(pair):
+    texts = ["good words", "a▁b", "tail  ", "next word", " ", "é x", "　wide", "x" * 300, "<|endoftext|> end"]
+    found = list(ta.align(pair, [b" " + t.encode() for t in texts], [0] * len(texts)))
+    for text, got in zip(texts, found, strict=True):
+        want = groups(pair, text)
+        assert got.good == (want is not None)
+        if want:
+            assert b";".join(ta.ordered_texts(got.fragments)) == b";".join(ta.rendered(np.array(a), np.array(b)) for a, b in want)
+
+
 def test_id_pairs_are_bounded(pair, docs):
     counts = ta.alignment(docs).pair_counts().collect()
     assert 0 < len(counts) <= pair.pair_bound() < 600_000
